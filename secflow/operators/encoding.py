@@ -30,12 +30,13 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: list[str], unknown: in
     """
     order = df.columns
     out = df
+    codes = broadcast_if_small(codes)
     for c in columns:
         lookup = codes.filter(F.col("column") == c).select(
             F.col("category").alias("_category"), F.col("code").alias("_code")
         )
         out = (
-            out.join(broadcast_if_small(lookup), F.col(c).cast("string") == F.col("_category"), "left")
+            out.join(lookup, F.col(c).cast("string") == F.col("_category"), "left")
             .withColumn(c, F.coalesce("_code", F.lit(unknown)).cast("int"))
             .drop("_category", "_code")
         )

@@ -6,7 +6,7 @@ import importlib
 
 from secflow.plans.registry import ENTRIES, Entry
 
-AREAS = ["flows"]
+AREAS = ["flows", "scores"]
 
 
 def load_all() -> dict[str, Entry]:

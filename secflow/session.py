@@ -47,10 +47,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast when ``df`` has at most ``limit`` rows; otherwise leave a shuffle join."""
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+    """A broadcast lookup table when ``df`` has at most ``limit`` rows, else ``df`` for a shuffle join.
+
+    The rows are read once, so a lookup that is costly to derive is not derived again per join.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def shuffle_buckets(spark: SparkSession, most: int = 256) -> int:

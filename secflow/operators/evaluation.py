@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow.functions.columns import ratio_or_zero
-from secflow.operators.ranking import exact_quantiles, running_totals
+from secflow.operators.ranking import exact_quantiles, quantile_array, running_totals
 
 METRICS = ("f1", "precision", "recall", "accuracy")
 
@@ -226,9 +226,9 @@ def sweep(df: DataFrame, score: str, label: str, grid: DataFrame, by: list[str]
 
 def percentile_grid(df: DataFrame, score: str, count: int = 100, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """``count`` score percentiles evenly spread over 0..100."""
-    probs = {f"q{i}": i / (count - 1) for i in range(count)}
-    found = exact_quantiles(df, score, probs, by)
-    return found.select(*by, F.array(*list(probs)).alias("thresholds"))
+    totals = running_totals(df, score, {"n": F.count("*")}, by)
+    found = quantile_array(totals, score, [i / (count - 1) for i in range(count)], by)
+    return found.withColumnRenamed("quantiles", "thresholds")
 
 
 def linear_grid(df: DataFrame, score: str, low: float, high: float, count: int, by: list[str] | tuple[str, ...] = ()) -> DataFrame:

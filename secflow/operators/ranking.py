@@ -66,19 +66,45 @@ def running_totals(
     )
 
 
-def quantiles_of_totals(totals: DataFrame, value: str, probs: dict[str, float], by=(), count: str = "n") -> DataFrame:
-    """Exact linear-interpolated quantiles from ascending running counts; one row per group."""
+def quantile_array(totals: DataFrame, value: str, probs: list[float], by=(), count: str = "n") -> DataFrame:
+    """(by..., quantiles): exact linear-interpolated quantiles from ascending running counts.
+
+    Each wanted rank is held by exactly one distinct value, so only those few rows survive the
+    explode; array functions keep the generated code small for any number of probabilities.
+    """
     upto, total = F.col(f"{count}_upto"), F.col(f"{count}_all")
-    first = upto - F.col(count)
-    picks, outs = [], []
-    for i, (name, p) in enumerate(probs.items()):
-        spot = F.lit(float(p)) * (total - 1)
-        for side, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            picks.append(F.max(F.when((first <= rank) & (rank < upto), F.col(value))).alias(f"_{side}{i}"))
-        picks.append(F.max(spot - F.floor(spot)).alias(f"_part{i}"))
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        outs.append((low + (high - low) * F.col(f"_part{i}")).alias(name))
-    return totals.groupBy(*by).agg(*picks).select(*by, *outs)
+    levels = F.array(*[F.lit(float(p)) for p in probs])
+
+    def ranks(i, p):
+        spot = p * (total - 1)
+        return F.array(
+            F.struct((2 * i).alias("slot"), F.floor(spot).alias("rank")),
+            F.struct((2 * i + 1).alias("slot"), F.ceil(spot).alias("rank")),
+        )
+
+    wanted = F.flatten(F.transform(levels, lambda p, i: ranks(i, p)))
+    held = F.filter(wanted, lambda w: (w["rank"] >= upto - F.col(count)) & (w["rank"] < upto))
+    found = (
+        totals.select(*by, value, total.alias("_total"), F.explode(held).alias("_w"))
+        .groupBy(*by)
+        .agg(
+            F.array_sort(F.collect_list(F.struct("_w.slot", F.col(value).alias("v")))).alias("_at"),
+            F.max("_total").alias("_total"),
+        )
+    )
+
+    def between(p, i):
+        spot = p * (F.col("_total") - 1)
+        low, high = F.col("_at")[2 * i]["v"], F.col("_at")[2 * i + 1]["v"]
+        return low + (high - low) * (spot - F.floor(spot))
+
+    return found.select(*by, F.transform(levels, between).alias("quantiles"))
+
+
+def quantiles_of_totals(totals: DataFrame, value: str, probs: dict[str, float], by=(), count: str = "n") -> DataFrame:
+    """As ``quantile_array`` with one named column per probability."""
+    found = quantile_array(totals, value, list(probs.values()), by, count)
+    return found.select(*by, *[F.col("quantiles")[i].alias(name) for i, name in enumerate(probs)])
 
 
 def exact_quantiles(

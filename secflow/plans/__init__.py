@@ -6,7 +6,7 @@ import importlib
 
 from secflow.plans.registry import ENTRIES, Entry
 
-AREAS = ["flows", "scores"]
+AREAS = ["flows", "scores", "profiles", "tests_of_significance"]
 
 
 def load_all() -> dict[str, Entry]:

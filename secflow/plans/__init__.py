@@ -6,7 +6,7 @@ import importlib
 
 from secflow.plans.registry import ENTRIES, Entry
 
-AREAS = ["flows", "syscalls", "scaling", "scores", "profiles", "tests_of_significance"]
+AREAS = ["flows", "syscalls", "scaling", "scores", "profiles", "tests_of_significance", "distances"]
 
 
 def load_all() -> dict[str, Entry]:

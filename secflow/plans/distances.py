@@ -14,7 +14,7 @@ from secflow.sources.views import SYSCALL_SQL, VECTORS_SQL, syscall_view, vector
 
 WV = f"WITH {VECTORS_SQL} "
 WE = f"WITH {SYSCALL_SQL} "
-EPS, MIN_SAMPLES = 0.6, 5
+EPS, MIN_SAMPLES = 1.15, 4
 _CENTRES = """, parts AS (SELECT label, generate_subscripts(features, 1) AS i, unnest(features) AS x FROM vectors),
 means AS (SELECT label, i, avg(x) AS m FROM parts GROUP BY 1, 2),
 centres AS (SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster, list(m ORDER BY i) AS c FROM means GROUP BY label),
@@ -88,9 +88,9 @@ def nearest_normal(spark, sf_dir):
 
 
 @query("J5 U12", WV + """SELECT a.row_id AS left, b.row_id AS right, round(list_distance(a.features, b.features), 6) AS distance
-FROM vectors a, vectors b WHERE a.row_id < b.row_id AND list_distance(a.features, b.features) <= 0.8""")
+FROM vectors a, vectors b WHERE a.row_id < b.row_id AND list_distance(a.features, b.features) <= 1.15""")
 def close_pairs(spark, sf_dir):
-    return round_doubles(nb.pairs_within(vector_view(spark, sf_dir), 0.8))
+    return round_doubles(nb.pairs_within(vector_view(spark, sf_dir), EPS))
 
 
 def _density(where: str = "TRUE", eps: float = EPS, least: int = MIN_SAMPLES) -> str:

@@ -6,7 +6,8 @@ import importlib
 
 from secflow.plans.registry import ENTRIES, Entry
 
-AREAS = ["flows", "syscalls", "scaling", "scores", "profiles", "tests_of_significance", "distances"]
+AREAS = ["flows", "syscalls", "scaling", "scores", "profiles", "tests_of_significance", "selection",
+         "distances", "models", "reports"]
 
 
 def load_all() -> dict[str, Entry]:

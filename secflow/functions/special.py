@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normal_two_sided(z: float) -> float:
@@ -74,7 +75,7 @@ def f_tail(f: float, d1: float, d2: float) -> float:
 
 
 def _columnwise(fn):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def apply(*args: pd.Series) -> pd.Series:
         return pd.Series([None if any(pd.isna(v) for v in row) else float(fn(*row)) for row in zip(*args)], dtype="float64")
 

@@ -35,9 +35,10 @@ _F = ", f AS (" + _union("""SELECT '@' AS feature, (sum(n * (m - g) ** 2) / (cou
 FROM (SELECT count(*) AS n, avg(@) AS m, var_pop(@) AS v FROM x GROUP BY label), (SELECT avg(@) AS g FROM x)""") + ") "
 
 
-@query("X1", VARIANCE + "SELECT feature, round(variance, 4) AS variance FROM v WHERE variance > 0.01")
+@query("X1", VARIANCE + "SELECT feature, round(ln(variance), 9) AS log_variance FROM v WHERE variance > 0.01")
 def variance_selection(spark, sf_dir):
-    return round_doubles(sel.by_variance(_flow(spark, sf_dir), ALL), 4)
+    kept = sel.by_variance(_flow(spark, sf_dir), ALL)
+    return kept.select("feature", F.round(F.log("variance"), 9).alias("log_variance"))
 
 
 @query("X2", WITH + _CORR + "SELECT f AS feature FROM names WHERE i NOT IN (SELECT i FROM gone)")

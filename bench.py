@@ -32,6 +32,7 @@ def main() -> None:
         start = time.perf_counter()
         entries[name].plan(spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - start, 3)
+        print(name, timings[name], file=sys.stderr, flush=True)
         spark.catalog.clearCache()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(timings.values()), 3), "unit": "sec",

@@ -8,6 +8,7 @@ from secflow.functions.columns import round_doubles
 from secflow.operators import cleaning, flow_features, loading
 from secflow.operators import tokens as tk
 from secflow.plans.registry import query
+from secflow.sources.readers import spread_scan
 from secflow.sources.views import ARGS_SQL, SYSCALL_SQL, TOKENS_SQL, syscall_view, table
 
 WE = f"WITH {SYSCALL_SQL} "
@@ -86,7 +87,7 @@ def text_vocabulary(spark, sf_dir):
 
 def _documents(spark, sf_dir):
     words = F.split(F.trim("text"), r"\s+")
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), words.alias("tokens"))
+    return spread_scan(table(spark, sf_dir, "documents"), "doc_id").select(F.col("doc_id").alias("row_id"), words.alias("tokens"))
 
 
 @query("T7", _DOCS + _vocabulary("words", "(SELECT count(*) FROM documents)", 500, "") + """SELECT row_id, term, tf.tf, round(idf, 9) AS idf,

@@ -55,3 +55,15 @@ def read_result(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 def read_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Metric records stored as JSON lines."""
     return spark.read.schema(schema).json(path)
+
+
+def spread_scan(scan: DataFrame, key: str) -> DataFrame:
+    """A bare scan with fewer splits than task slots, spread by its key before heavy row work.
+
+    Large inputs have more splits than slots and pass through without an exchange. Only for a
+    scan: counting the splits of a plan with shuffles would run them.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= slots:
+        return scan
+    return scan.repartition(slots, key)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from secflow.sources.readers import spread_scan
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -64,11 +66,11 @@ def flow_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     The key repeats in the data, so rows are merged with ``max``; the partial aggregate collapses
     repeated keys before the shuffle, and the order side joins on what is left.
     """
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(*[F.max(c).alias(c) for c in _LINE_VALUES])
-    )
+    # The two flags are single letters: their code points keep the aggregate hash-based, while
+    # max over strings would sort.
+    letters = ("l_returnflag", "l_linestatus")
+    largest = [F.char(F.max(F.ascii(c))).alias(c) if c in letters else F.max(c).alias(c) for c in _LINE_VALUES]
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*largest)
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         *[F.expr(e).alias(c) for c, e in _FLOW_COLUMNS.items()]
@@ -119,7 +121,7 @@ def syscall_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)") / F.lit(1e6)
     rest = {c: e for c, e in _SYSCALL_REST.items()}
     return (
-        table(spark, sf_dir, "events")
+        spread_scan(table(spark, sf_dir, "events"), "event_id")
         .withColumn("k", k)
         .select(
             seconds.alias("timestamp"),

@@ -223,6 +223,7 @@ def fit_mixture(
     """Expectation-maximisation; each round is one scan whose result has components x dimensions cells."""
     if kind not in ("full", "tied", "diag", "spherical"):
         raise ValueError(f"unknown covariance {kind}")
+    df = df.select(array_features(df, features).alias(features)).persist()  # every round scans it
     means = start
     if means is None:
         model = KMeans(k=k, seed=seed, featuresCol="_vector").fit(as_vector(df, features))
@@ -241,10 +242,12 @@ def fit_mixture(
         settled = last is not None and abs(likes - last) / rows < tolerance
         current.log_likelihood, current.rows, current.converged = likes, rows, settled
         if settled:
+            df.unpersist()
             return current
         last = likes
         current = _maximised(kind, n, s, q, floor)
     current.log_likelihood, current.rows = _moments(df, current, features, kind in ("full", "tied"))[3], rows
+    df.unpersist()
     return current
 
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secflow.llm.compression import compression_quality
+from secflow.llm.decontamination import find_contamination
 from secflow.llm.line_dedup import remove_repeated_lines
 from secflow.llm.substring_dedup import remove_repeated_passages
+from secflow.llm.url_filters import RULES, judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,5 +60,54 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n,
 FROM d LEFT JOIN k USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_compression_bands, op2_line_dedup, op3_substring_dedup)}
-ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("hits") > 0).alias("contaminated"))
+
+
+OP8_SQL = r"""
+WITH t AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS u, 'abcdefghijklmnopqrstuvwxyz' AS l),
+d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents, t),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, coalesce(regexp_extract_all(translate(text, u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+      FROM benchmark, t WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS win
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, w FROM d),
+v AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM p, (SELECT DISTINCT n FROM bw) WHERE i + n - 1 <= len(w)),
+m AS (SELECT v.doc_id, v.i, v.n, bw.item_id FROM v JOIN bw USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS i FROM m) GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def _rule_values(named: bool) -> str:
+    quoted = [(r.name, r.regex(), r.action) for r in RULES if r.named == named]
+    return ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in quoted)
+
+
+OP9_SQL = rf"""
+WITH r AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM (SELECT page_id, coalesce(rest, '') AS rest FROM r)),
+n (rule, regex, action) AS (VALUES {_rule_values(True)}),
+o (rule, regex, action) AS (VALUES {_rule_values(False)})
+SELECT page_id, host, path,
+       (SELECT max_by(rule, (length(rule), rule)) FROM n WHERE regexp_matches(host || path, regex)) AS rule,
+       coalesce((SELECT max_by(action, (length(rule), rule)) FROM n WHERE regexp_matches(host || path, regex)),
+                CASE WHEN EXISTS (SELECT 1 FROM o WHERE action = 'block' AND regexp_matches(host || path, regex)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM u
+"""
+
+QUERIES = {f.__name__: f for f in (op1_compression_bands, op2_line_dedup, op3_substring_dedup, op8_decontamination, op9_url_filters)}
+ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from secflow.llm.compression import compression_quality
 from secflow.llm.decontamination import find_contamination
+from secflow.llm.jaccard_join import join_similar
 from secflow.llm.line_dedup import remove_repeated_lines
 from secflow.llm.substring_dedup import remove_repeated_passages
 from secflow.llm.url_filters import RULES, judge_urls
@@ -60,6 +61,25 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n,
 FROM d LEFT JOIN k USING (doc_id)
 """
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_similar(_table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS t
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS root, doc_id AS id FROM n UNION SELECT r.root, f.b FROM r JOIN f ON f.a = r.id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT id, min(root) AS least FROM r GROUP BY id) c ON c.id = d.doc_id
+"""
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
@@ -109,5 +129,5 @@ SELECT page_id, host, path,
 FROM u
 """
 
-QUERIES = {f.__name__: f for f in (op1_compression_bands, op2_line_dedup, op3_substring_dedup, op8_decontamination, op9_url_filters)}
-ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_compression_bands, op2_line_dedup, op3_substring_dedup, op5_jaccard_join, op8_decontamination, op9_url_filters)}
+ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL}

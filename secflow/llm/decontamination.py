@@ -166,7 +166,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Which words of which documents lie in test-item windows, and in whose.
 
-    Returns one row per input document: ``doc_id``, ``n_words``, ``hits`` (word numbers from 0, sorted)
+    Returns one row per input document: ``doc_id``, ``text_hash`` (xxhash64), ``n_words``, ``hits`` (word numbers from 0, sorted)
     and ``items`` (item ids as strings, sorted). Words are runs of ASCII letters and digits and of
     anything outside ASCII, A-Z lower-cased. Null and empty texts have no words and no hits; items
     without words have no window. Null item ids are left out; repeated items count once. Null
@@ -184,7 +184,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         windows = item_windows([(r.item, r.text) for r in items.where(F.col("block") == block).collect()], window)
         found.append(_search(positional_index(docs, windows.vocabulary(), id_col, text_col), windows, slop))
     if blocks == 1:
-        return found[0].drop("text_hash")
+        return found[0]
     rows = found[0]
     for other in found[1:]:
         rows = rows.unionByName(other)
@@ -193,4 +193,4 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         (F.count("*") / blocks).cast("int").alias("times"))
-    return merged.withColumn("nth", F.explode(F.sequence(F.lit(1), "times"))).select("doc_id", "n_words", "hits", "items")
+    return merged.withColumn("nth", F.explode(F.sequence(F.lit(1), "times"))).select("doc_id", "text_hash", "n_words", "hits", "items")

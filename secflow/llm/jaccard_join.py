@@ -1,8 +1,9 @@
 """Similarity join of shingle sets through a token-group matrix.
 
 Documents with equal sets become one class. A class takes part only where enough of its shingles
-occur in other classes. Similar classes are gathered into groups of bounded size; the matrix row of a
-group is the union of its members' shingles, and its members are linked among themselves. A class
+occur in other classes. Similar classes are gathered into groups of bounded size, in several ways; their
+members are linked among themselves. The matrix row of a group of the first way is the union of its
+members' shingles. A class
 then queries the groups that hold one of its rarest shingles: its overlap with the group's union
 bounds its overlap with any member, and only groups that reach the threshold are opened.
 """
@@ -22,6 +23,8 @@ from secflow.llm.hashing import BLANK_SPLIT, LOWER_AZ, U64, SpanHash, bucket_run
 
 WORDS = 4
 PERCENT = 85
+#: Ways to gather similar classes, by the least shingle under that many hash functions.
+FAMILIES = 4
 #: Most members of a group, and most queries that open a group in one task.
 GROUP = 128
 QUERIES = 512
@@ -115,8 +118,9 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A set holds the distinct shingles of ``words`` consecutive words (A-Z lower-cased, words being runs
     of anything but space and the controls 9 to 13); a shorter text is one shingle. Returns ``doc_id``,
-    ``n_shingles`` and ``component_id``, the least id reachable by links, one row per input row; other
-    columns are ignored, whatever their names.
+    ``text_hash`` (xxhash64), ``digest`` (of the set), ``component`` (a member's digest), ``n_shingles``
+    and ``component_id``, the least id reachable by links, one row per input row; other columns are
+    ignored, whatever their names.
 
     Null and blank texts have an empty set, link with nothing and stand alone under their own id. Equal
     sets always link, whatever their ids. Null ids take part, but give a component its id only when it
@@ -133,12 +137,12 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     total = common.text_bytes(docs, text_col)
     bits, chunks = common.bucket_bits(total, chunk_bytes), common.chunk_count(total, chunk_bytes)
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     by_chunk = rows.withColumn("chunk", common.chunk_of(chunks, "doc_id", "text")).repartition(spread, "chunk").groupBy("chunk")
 
     def digests(table: pa.Table) -> pa.Table:
         s = _Sets(table, words)
-        return pa.table({"chunk": table["chunk"], "doc_id": table["doc_id"], "n_shingles": s.sizes.astype(np.int64),
+        return pa.table({"chunk": table["chunk"], "doc_id": table["doc_id"], "text_hash": table["text_hash"], "n_shingles": s.sizes.astype(np.int64),
                          "digest": pa.array(s.digests, pa.binary())})
 
     def need(sizes: np.ndarray) -> np.ndarray:
@@ -164,10 +168,10 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for _, a, b in runs], pa.binary()),
         })
 
-    active_schema = "digest binary, n int, tokens binary, prefix array<long>, family long"
+    active_schema = "digest binary, n int, tokens binary, prefix array<long>, families array<long>"
 
     def active(table: pa.Table, replies: pa.Table) -> pa.Table:
-        out: dict[str, list] = {name: [] for name in ("digest", "n", "tokens", "prefix", "family")}
+        out: dict[str, list] = {name: [] for name in ("digest", "n", "tokens", "prefix", "families")}
         bucket_of, payload = replies["bucket"].to_pylist(), replies["payload"].to_pylist()
         home = {p for b, p in zip(bucket_of, payload) if b is None}
         if home:
@@ -187,8 +191,8 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out["n"].append(len(own))
                 out["tokens"].append(own.tobytes())
                 out["prefix"].append(own[order[level[order] > 0]].view(np.int64))
-                out["family"].append(int(mix(own).min().view(np.int64)))
-        types = (pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int64())
+                out["families"].append([int(mix(own ^ U64(seed)).min().view(np.int64)) for seed in range(FAMILIES)])
+        types = (pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.table({name: pa.array(v, t) for (name, v), t in zip(out.items(), types)})
 
     def link_members(table: pa.Table) -> pa.Table:
@@ -222,7 +226,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 edges += [(q, other) for other in found.values()]
         return _edge_table(edges)
 
-    judged = by_chunk.applyInArrow(digests, "chunk int, doc_id long, n_shingles long, digest binary")
+    judged = by_chunk.applyInArrow(digests, "chunk int, doc_id long, text_hash long, n_shingles long, digest binary")
     judged = common.stored(judged, "shingle-sets")
     classes = judged.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.min("chunk").alias("chunk"))
     homes = classes.select("chunk", F.lit(None).cast("int").alias("bucket"), F.col("digest").alias("payload"))
@@ -230,21 +234,23 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .groupBy("bucket").applyInArrow(_token_levels, "chunk int, bucket int, payload binary"))
     sets = common.stored(by_chunk.cogroup(homes.unionByName(levels).groupBy("chunk")).applyInArrow(active, active_schema), "live-sets")
 
-    families = (sets.groupBy("family").agg(F.count("*").alias("members"), F.min("digest").alias("pivot"))
-                .withColumn("parts", F.ceil(F.col("members") / (group - 1)).cast("int")).where("members > 1"))
-    dealt = (sets.join(families, "family", "left")
-             .withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("digest"), "parts")).otherwise(0).cast("int")))
-    dealt = common.stored(dealt.drop("members"), "set-groups")
+    filed = sets.select("digest", F.posexplode("families").alias("way", "family"))
+    families = (filed.groupBy("way", "family").agg(F.count("*").alias("members"), F.min("digest").alias("pivot"))
+                .withColumn("parts", F.ceil(F.col("members") / (group - 1)).cast("int")))
+    dealt = common.stored(filed.join(families, ["way", "family"])
+                          .withColumn("part", F.pmod(F.xxhash64("digest"), "parts").cast("int")), "set-groups")
     pivots = (dealt.where("parts > 1 AND digest = pivot")
               .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("to <> part")
-              .select("family", F.col("to").alias("part"), "digest", "tokens"))
-    inside = (dealt.where("parts IS NOT NULL").select("family", "part", "digest", "tokens").unionByName(pivots)
-              .groupBy("family", "part").applyInArrow(link_members, _EDGES))
+              .select("way", "family", F.col("to").alias("part"), "digest"))
+    seats = dealt.where("members > 1").select("way", "family", "part", "digest").unionByName(pivots)
+    inside = (seats.join(sets.select("digest", "tokens"), "digest")
+              .groupBy("way", "family", "part").applyInArrow(link_members, _EDGES))
     inside = common.stored(inside, "group-links")
     first = common.stored(components(inside), "group-components")
 
-    member = (dealt.join(first, dealt.digest == first.node, "left")
-              .withColumn("component", F.coalesce("component", "digest")).select("digest", "n", "family", "part", "component", "tokens", "prefix"))
+    member = (sets.join(dealt.where("way = 0").select("digest", "family", "part"), "digest")
+              .join(first, F.col("digest") == first.node, "left").withColumn("component", F.coalesce("component", "digest"))
+              .select("digest", "n", "family", "part", "component", "tokens", "prefix"))
     member = common.stored(member, "group-members")
     postings = member.select("digest", "n", "family", "part", "component", F.explode("prefix").alias("token"))
     open_tokens = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
@@ -266,6 +272,22 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     last = components(inside.unionByName(across))
     found = classes.join(last, classes.digest == last.node, "left").withColumn("component", F.coalesce("component", "digest"))
     least = found.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = found.join(least, "component").select("digest", "component_id")
+    of_class = found.join(least, "component").select("digest", "component", "component_id")
     return judged.join(of_class, "digest", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "text_hash", "digest", "component", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings: int) -> DataFrame:
+    """One row of each component, all columns unchanged: that of least id (null last), then least text hash.
+
+    Rows with an empty set are all kept, but of rows equal in id and text one stays.
+    """
+    joined = join_similar(docs, id_col, text_col, **settings)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    best = joined.where("component IS NOT NULL").groupBy("component").agg(F.min(rank).alias("best")).select("best.doc_id", "best.text_hash")
+    best = best.unionByName(joined.where("component IS NULL").select("doc_id", "text_hash")).distinct()
+    key = ["own_null", "own_id", "own_hash"]
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).isNull().alias("own_null"),
+                      F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("own_id"), F.xxhash64(text_col).alias("own_hash"))
+    best = best.select(F.col("doc_id").isNull().alias("own_null"), F.coalesce("doc_id", F.lit(0)).alias("own_id"), F.col("text_hash").alias("own_hash"))
+    return own.join(best, key, "left_semi").dropDuplicates(key).select("row.*")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secflow.llm.compression import compression_quality
 from secflow.llm.decontamination import find_contamination
 from secflow.llm.jaccard_join import join_similar
+from secflow.llm.language_id import fit_languages, id_remainder, identify
 from secflow.llm.line_dedup import remove_repeated_lines
+from secflow.llm.packing import pack_documents
+from secflow.llm.secrets import find_secrets
 from secflow.llm.substring_dedup import remove_repeated_passages
+from secflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
 from secflow.llm.url_filters import RULES, judge_urls
 
 
@@ -62,7 +66,7 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_similar(_table(spark, sf_dir, "documents"))
+    return join_similar(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 OP5_SQL = r"""
@@ -129,5 +133,39 @@ SELECT page_id, host, path,
 FROM u
 """
 
-QUERIES = {f.__name__: f for f in (op1_compression_bands, op2_line_dedup, op3_substring_dedup, op5_jaccard_join, op8_decontamination, op9_url_filters)}
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    model = fit_toxicity(docs, labels.where(~held_out))
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
+    languages = fit_languages(docs.where(~held_out))
+    return identify(docs, languages).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_compression_bands, op2_line_dedup, op3_substring_dedup, op4_toxicity, op5_jaccard_join, op6_secret_scan, op7_best_fit_packing,
+    op8_decontamination, op9_url_filters, op10_language_id)}
 ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL}

@@ -9,7 +9,7 @@ from secflow.llm import common
 from secflow.llm.decontamination import find_contamination
 from secflow.llm.jaccard_join import keep_one_of_each
 from secflow.llm.language_id import id_remainder
-from secflow.llm.line_dedup import remove_repeated_lines
+from secflow.llm.line_dedup import NOT_BLANK, remove_repeated_lines
 from secflow.llm.packing import pack_documents
 from secflow.llm.toxicity import drop_toxic, fit_toxicity
 
@@ -25,8 +25,9 @@ def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines of later occurrences of three-line windows."""
+    """Documents without the lines of later occurrences of three-line windows; one that loses all its words that way goes."""
     changed = remove_repeated_lines(docs, carry=True)
+    changed = changed.where((F.col("n_removed") == 0) | F.col("text").rlike(NOT_BLANK))
     return changed.select(*["text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 

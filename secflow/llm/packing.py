@@ -8,7 +8,9 @@ partitions with a gap exchange their pieces and are packed again.
 from __future__ import annotations
 
 import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,9 @@ PARTITION_PIECES, ROUNDS = 20_000, 3
 #: Fixed value: the pre-tokenisation for which words can be encoded one by one.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Visible ASCII and precomposed Latin letters: already normalised, and lower-cased letter by letter.
-_PLAIN = regex.compile(r"[!-~À-įı-ɏ]+")
-_WORDS_KEPT = 300_000
+_PLAIN = re.compile(r"[!-~À-įı-ɏ]+")
+_MARKS = (b".", b",")
+_WORDS_KEPT = 500_000
 
 
 class WordEncoder:
@@ -53,29 +56,38 @@ class WordEncoder:
         other = [b for b in range(256) if b not in printable]
         self.shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
         self.words: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
 
-    def _stem(self, stem: str) -> bytes:
-        if stem not in self.stems:
+    def _stem(self, stem: bytes) -> bytes:
+        """Ids of a lower-cased run that the pre-tokenisation leaves whole."""
+        ids = self.stems.get(stem)
+        if ids is None:
             if len(self.stems) >= _WORDS_KEPT:
                 self.stems = {}
-            shown = stem if stem.isascii() else "".join(self.shown[b] for b in stem.encode())
-            self.stems[stem] = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], np.uint16).tobytes()
-        return self.stems[stem]
+            shown = stem.decode("latin-1").translate(self.shown)
+            ids = self.stems[stem] = array("H", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return ids
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters only
+            return self._stem(word.lower())
+        if word[-1:] in _MARKS and word[:-1].isalpha():
+            return self._stem(word[:-1].lower()) + self._stem(word[-1:])
         text = word.decode()
         if "<|" in text or not _PLAIN.fullmatch(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
+            return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         text = text.lower()
-        return self._stem(text) if text.isalpha() else b"".join(map(self._stem, self.split.findall(text)))
+        if text.isalpha():
+            return self._stem(text.encode())
+        return b"".join([self._stem(x.encode()) for x in self.split.findall(text)])
 
     def ids(self, text: bytes) -> np.ndarray:
         if not self.by_word:
             return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
         words = text.split()
-        missing = set(words) - self.words.keys()
-        if len(self.words) + len(missing) > _WORDS_KEPT:
+        known = self.words
+        missing = [w for w in set(words) if w not in known]  # a difference of the views would walk all known words
+        if len(known) + len(missing) > _WORDS_KEPT:
             self.words, missing = {}, set(words)
         for w in missing:
             self.words[w] = self._word(w)

@@ -255,8 +255,8 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     postings = member.select("digest", "n", "family", "part", "component", F.explode("prefix").alias("token"))
     open_tokens = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     postings = common.stored(postings.join(open_tokens, "token"), "open-postings")
-    filed = postings.groupBy("token", "family", "part", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    other = filed.select("token", F.col("family").alias("to_family"), F.col("part").alias("to_part"), F.col("component").alias("to"), "least", "most")
+    rows_of = postings.groupBy("token", "family", "part").agg(F.min("component").alias("to"), F.min("n").alias("least"), F.max("n").alias("most"))
+    other = rows_of.withColumnsRenamed({"family": "to_family", "part": "to_part"})
     asks = (postings.join(other, "token").where("component > to AND NOT (family = to_family AND part = to_part)")
             .where(f"100 * most >= {percent} * n AND {percent} * least <= 100 * n")
             .select("digest", F.col("to_family").alias("family"), F.col("to_part").alias("part")).distinct())

@@ -220,11 +220,17 @@ def fit_mixture(
     df: DataFrame, k: int, kind: str = "full", features: str = "features", seed: int = 42,
     most_rounds: int = 50, tolerance: float = 1e-3, floor: float = 1e-6, start: np.ndarray | None = None,
 ) -> Mixture:
-    """Expectation-maximisation; each round is one scan whose result has components x dimensions cells."""
+    """Expectation-maximisation; each round is one scan whose result has components x dimensions cells.
+
+    Values are centred on their mean first, so that large offsets do not eat the digits of the moments.
+    """
     if kind not in ("full", "tied", "diag", "spherical"):
         raise ValueError(f"unknown covariance {kind}")
-    df = df.select(array_features(df, features).alias(features)).persist()  # every round scans it
-    means = start
+    df = df.select(array_features(df, features).alias(features))
+    centre = np.array([r["m"] for r in df.select(F.posexplode(features).alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).orderBy("i").collect()])
+    away = F.array(*[F.lit(float(c)) for c in centre])
+    df = df.select(F.zip_with(features, away, lambda x, c: x - c).alias(features)).persist()  # every round scans it
+    means = None if start is None else start - centre
     if means is None:
         model = KMeans(k=k, seed=seed, featuresCol="_vector").fit(as_vector(df, features))
         means = np.array([np.asarray(c) for c in model.clusterCenters()])
@@ -242,12 +248,13 @@ def fit_mixture(
         settled = last is not None and abs(likes - last) / rows < tolerance
         current.log_likelihood, current.rows, current.converged = likes, rows, settled
         if settled:
-            df.unpersist()
-            return current
+            break
         last = likes
         current = _maximised(kind, n, s, q, floor)
-    current.log_likelihood, current.rows = _moments(df, current, features, kind in ("full", "tied"))[3], rows
+    else:
+        current.log_likelihood, current.rows = _moments(df, current, features, kind in ("full", "tied"))[3], rows
     df.unpersist()
+    current.means = current.means + centre
     return current
 
 

@@ -119,10 +119,11 @@ def classification_metrics(
             *by, *[F.col(f"weighted_{c}").alias(c) for c in ("precision", "recall", "f1")]
         )
     classes = df.groupBy(*by).agg(F.count_distinct(actual).alias("classes"))
+    zeros = {c: 0.0 for c in ("precision", "recall", "f1")}  # a positive class on neither side
     if by:
-        return accuracy.join(chosen, by).join(classes, by)
+        return accuracy.join(chosen, by, "left").fillna(zeros).join(classes, by)
     one = F.lit(1)
-    joined = accuracy.withColumn("_k", one).join(chosen.withColumn("_k", one), "_k").join(classes.withColumn("_k", one), "_k")
+    joined = accuracy.withColumn("_k", one).join(chosen.withColumn("_k", one), "_k", "left").fillna(zeros).join(classes.withColumn("_k", one), "_k")
     return joined.drop("_k")
 
 

@@ -102,6 +102,8 @@ def block_join(
     left: DataFrame, cells: Cells, placed: DataFrame, compare: Callable, schema: str, radius: float | None = None, k: int = 1
 ) -> DataFrame:
     """Run ``compare(left_block, right_block, distances)`` on every pair of blocks that can matter."""
+    if cells is None:  # no reference rows at all
+        return left.sparkSession.createDataFrame([], schema)
     visits = _visits(left, cells, radius, k)
     load = np.ones(len(cells.pivots), np.int64)
     for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect():  # one row per pivot

@@ -131,9 +131,14 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """(by..., bin, low, high, count, density); equal bins over the whole range, last bin closed."""
+    """(by..., bin, low, high, count, density); equal bins over the whole range, last bin closed.
+
+    A constant column gets a range of width one around its value.
+    """
     by = list(by)
-    edges = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    low, high = F.min(column), F.max(column)
+    margin = F.when(low == high, 0.5).otherwise(0.0)
+    edges = df.agg((low - margin).alias("lo"), (high + margin).alias("hi"))
     lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
     width = (F.col("_hi") - F.col("_lo")) / bins
     placed = df.withColumn("_lo", lo).withColumn("_hi", hi).withColumn(

@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Expressions are shared text: both engines read them the same way.
 _FLOW_COLUMNS = {
-    "row_id": "l_orderkey * 10 + l_linenumber",
+    "row_id": "(l_orderkey * 10 + l_linenumber) * 10000000000 + l_partkey % 1000000 * 10000 + l_suppkey % 10000",
     "proto": "l_returnflag",
     "service": "l_linestatus",
     "state": "o_orderstatus",
@@ -48,29 +48,16 @@ _FLOW_COLUMNS = {
     "attack_cat": "o_orderpriority",
 }
 FLOW_NUMERIC = [c for c in _FLOW_COLUMNS if c not in ("row_id", "proto", "service", "state", "label", "attack_cat")]
-_LINE_VALUES = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                "l_returnflag", "l_linestatus"]
-
 FLOW_SQL = (
     "flows AS (SELECT "
     + ", ".join(f"{e} AS {c}" for c, e in _FLOW_COLUMNS.items())
-    + " FROM (SELECT l_orderkey, l_linenumber, "
-    + ", ".join(f"max({c}) AS {c}" for c in _LINE_VALUES)
-    + " FROM lineitem GROUP BY l_orderkey, l_linenumber) l JOIN orders ON l_orderkey = o_orderkey)"
+    + " FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 )
 
 
 def flow_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flow records: one row per (order, line).
-
-    The key repeats in the data, so rows are merged with ``max``; the partial aggregate collapses
-    repeated keys before the shuffle, and the order side joins on what is left.
-    """
-    # The two flags are single letters: their code points keep the aggregate hash-based, while
-    # max over strings would sort.
-    letters = ("l_returnflag", "l_linestatus")
-    largest = [F.char(F.max(F.ascii(c))).alias(c) if c in letters else F.max(c).alias(c) for c in _LINE_VALUES]
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*largest)
+    """Flow records: one row per line item, keyed by order, line, part and supplier."""
+    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         *[F.expr(e).alias(c) for c, e in _FLOW_COLUMNS.items()]

@@ -1,0 +1,252 @@
+"""Every corpus operator against SQL or brute force, and on the edge rows."""
+
+from __future__ import annotations
+
+import itertools
+import re
+import zlib
+from collections import Counter
+from types import SimpleNamespace
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from secflow.llm import compression, decontamination, hashing, jaccard_join, language_id, line_dedup, packing, queries, secrets
+from secflow.llm import substring_dedup, toxicity, url_filters
+from tests.llm.conftest import EDGE_ROWS, EDGE_SCHEMA
+from tests.oracle import compare
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_equals_sql(spark, name):
+    assert compare(spark, SimpleNamespace(plan=queries.QUERIES[name], sql=queries.ORACLES[name]), SF) is None
+
+
+def _words(text):
+    return WORD.findall(text or "")
+
+
+def _by_row(rows, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in rows), key=repr)
+
+
+def test_compression(spark, edge):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r for r in compression.compression_quality(docs).collect()}
+    for d in docs.collect():
+        w = _words(d.text)
+        times = Counter(zip(w, w[1:], w[2:]))
+        hit = {i + k for i in range(len(w) - 2) if times[tuple(w[i:i + 3])] > 1 for k in range(3)}
+        lines = [x for x in d.text.split("\n") if WORD.search(x)]
+        r = rows[d.doc_id]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in d.text), len(lines) - len(set(lines)), len(hit))
+        assert r.base_failed == (len(w) < 50 or 2 * len(hit) > len(w)) and not (r.base_failed and r.kept)
+    out = compression.compression_quality(edge).collect()
+    assert len(out) == len(EDGE_ROWS) and not any(r.kept for r in out)
+    assert compression.compression_quality(edge.limit(0)).count() == 0
+    assert not compression.in_band(5000, 0.95, compression.BANDS) and compression.in_band(5000, 0.45, compression.BANDS)
+
+
+def test_line_dedup_edges(edge):
+    rows = line_dedup.remove_repeated_lines(edge).collect()
+    assert _by_row([r for r in rows if r.doc_id in (7, 8, 9)], "doc_id", "text", "n_removed") == [
+        (7, "a\nb\nc\nd", 3), (8, "e", 3), (8, "e", 3), (9, " \n \n \n \n", 0)]
+    assert len(rows) == len(EDGE_ROWS)
+    carried = line_dedup.remove_repeated_lines(edge, carry=True).select("row.*")
+    assert carried.columns == [c for c in edge.columns if c != "text"]
+    assert line_dedup.remove_repeated_lines(edge.limit(0)).count() == 0
+
+
+def test_passages_edges(edge):
+    rows = substring_dedup.remove_repeated_passages(edge, chunk_bytes=64).collect()
+    kept, ids = [], [-1 if r[0] is None else r[0] for r in EDGE_ROWS]
+    first = {}
+    for i, (_, text, *_) in zip(ids, EDGE_ROWS):
+        w = _words(text)
+        for a in range(len(w) - 12):
+            first[tuple(w[a:a + 13])] = min(first.get(tuple(w[a:a + 13]), i), i)
+    for i, row in zip(ids, EDGE_ROWS):
+        w = _words(row[1])
+        gone = {a + k for a in range(len(w) - 12) if first[tuple(w[a:a + 13])] < i for k in range(13)}
+        kept.append((row[0], " ".join(x for j, x in enumerate(w) if j not in gone), len(gone)))
+    assert _by_row(rows, "doc_id", "text", "n_removed") == sorted(kept, key=repr)
+    assert substring_dedup.remove_repeated_passages(edge.limit(0)).count() == 0
+    assert substring_dedup.is_cover((0, 1, 3), 7) and not substring_dedup.is_cover((0, 1), 7)
+
+
+def test_hashes_do_not_depend_on_blocks(monkeypatch):
+    texts = [b"one two  three\nfour", b"", b"five " * 40, b"x" * 90]
+    whole = hashing.hash_words(texts, hashing.BLANK_SPLIT, [hashing.SpanHash(1)])
+    monkeypatch.setattr(hashing, "BLOCK", 16)
+    cut = hashing.hash_words(texts, hashing.BLANK_SPLIT, [hashing.SpanHash(1)])
+    assert whole.counts.tolist() == [4, 0, 40, 1] == cut.counts.tolist()
+    assert (whole.hashes[0] == cut.hashes[0]).all()
+
+
+def _components(rows, words, percent):
+    sets = []
+    for _, text, *_ in rows:
+        w = _words((text or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets.append({tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    group = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
+            old, new = group[b], group[a]
+            group = [new if g == old else g for g in group]
+    least = {g: min((rows[i][0] for i in range(len(rows)) if group[i] == g and rows[i][0] is not None), default=None) for g in group}
+    return [(rows[i][0], len(sets[i]), least[group[i]]) for i in range(len(rows))]
+
+
+def test_jaccard_edges(spark, edge):
+    found = jaccard_join.join_similar(edge, percent=70, chunk_bytes=64)
+    assert _by_row(found.collect(), "doc_id", "n_shingles", "component_id") == sorted(_components(EDGE_ROWS, 4, 70), key=repr)
+    assert jaccard_join.join_similar(edge.limit(0)).count() == 0
+
+
+def test_jaccard_near_copies_in_small_groups(spark):
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for j in rng.integers(0, 60, i % 4):
+            w[j] = f"v{rng.integers(99)}"
+        rows.append((i, " ".join(w), None, None))
+    found = jaccard_join.join_similar(spark.createDataFrame(rows, EDGE_SCHEMA), group=4, queries=3, chunk_bytes=256)
+    assert _by_row(found.collect(), "doc_id", "n_shingles", "component_id") == sorted(_components(rows, 4, 85), key=repr)
+    kept = jaccard_join.keep_one_of_each(spark.createDataFrame(rows, EDGE_SCHEMA))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in _components(rows, 4, 85)})
+
+
+def test_secrets(spark, edge):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(edge.where("doc_id = 10").select("doc_id", "text"))
+    patterns = (re.compile(secrets.ASSIGN.replace("(?i:", "(?:(?i:").replace("api_?key)", "api_?key))")), re.compile(secrets.ACCESS), re.compile(secrets.HEX))
+    for r in secrets.find_secrets(docs).join(docs.dropDuplicates(["doc_id", "text"]), "doc_id").where("doc_id > 10 OR doc_id < 5").collect():
+        want = [(m.start(), k, m.end()) for k, p in enumerate(patterns) for m in p.finditer(r.text)
+                if len(m[1] if k == 0 else m[0]) >= (6, 20, 24)[k]]
+        assert [(s.start, secrets.KINDS.index(s.kind), s.end) for s in r.spans if s.kind != "random"] == sorted(want)
+    row = secrets.find_secrets(edge).where("doc_id = 10").first()
+    assert [s.kind for s in row.spans] == ["assign", "hex", "access"]
+    assert secrets.find_secrets(edge.limit(0)).count() == 0
+
+
+def test_markov_ratio_tells_random_from_words():
+    words = Counter(a + b for w in ("session_identifier", "configuration", "request_handler", "maximum_length") * 50 for a, b in zip("^" + w, w))
+    rng = np.random.default_rng(1)
+    codes = ["".join(rng.choice(list(secrets.ALPHABET[:62]), 40)) for _ in range(300)]
+    ratios = secrets.log_ratios(dict(Counter(a + b for w in codes for a, b in zip("^" + w, w))), dict(words))
+
+    def mean(s):
+        return sum(ratios[a + b] for a, b in zip("^" + s, s)) / len(s)
+
+    assert mean("q7Zp0XvK3tWm9RbL2yHd") > 0.0 > mean("configuration_handler")
+
+
+def test_packing(spark, edge):
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    odd = spark.createDataFrame([(20, "It's ①² İstanbul naïve é <|endoftext|> ΣΑΣ don't x don’t", None, None)], EDGE_SCHEMA)
+    docs = edge.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    rows = packing.pack_documents(docs, length=64).collect()
+    want = []
+    for d in docs.collect():
+        ids = np.array(t.encode(d.text or "", add_special_tokens=False).ids + [0], "<u4")
+        want += [(d.doc_id, p, s, len(ids[s:s + 64]), zlib.crc32(ids[s:s + 64].tobytes()), ids[s:s + 64].tobytes()) for p, s in enumerate(range(0, len(ids), 64))]
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32, bytes(r.ids)) for r in rows), key=repr) == sorted(want, key=repr)
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by.values():
+        ends = list(itertools.accumulate((n for _, n in sorted(places)), initial=0))
+        assert [o for o, _ in sorted(places)] == ends[:-1] and ends[-1] <= 64
+    assert packing.pack_documents(docs.limit(0)).count() == 0
+
+
+def test_bounds_never_exceed_a_packing():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        lengths = rng.integers(1, 21, rng.integers(1, 40))
+        bins, offsets = packing.best_fit(lengths, 20)
+        assert np.bincount(bins, lengths).max() <= 20
+        assert packing.lower_bound(lengths, 20) <= bins.max() + 1
+    assert packing.lower_bound(np.array([11, 11, 11]), 20) == 3
+
+
+def test_exchange_between_partitions(spark):
+    pieces = spark.createDataFrame([(i, 1 + i * 37 % 63) for i in range(200)], "piece_no long, length long")
+    plan = packing.packing_plan(pieces, 64, partition_pieces=20).join(pieces, "piece_no")
+    assert plan.count() == 200
+    assert plan.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("m")).where("n > 64 OR n <> m").count() == 0
+
+
+def test_decontamination_edges(spark, edge):
+    items = spark.createDataFrame([(1, "Alpha, beta gamma delta epsilon zeta eta theta iota kappa"), (2, "E"), (3, None), (4, ""), (None, "a"), (2, "E")],
+                                  "item_id long, text string")
+    for block in (1 << 20, 8):
+        rows = decontamination.find_contamination(edge, items, block_bytes=block).collect()
+        got = _by_row([r for r in rows if r.hits], "doc_id", "hits", "items")
+        run = list(range(10))
+        assert got == sorted([(1, run, ["1"]), (2, run, ["1"]), (None, run, ["1"]), (3, [x + 1 for x in run], ["1"]), (8, [3], ["2"]), (8, [3], ["2"])], key=repr)
+        assert len(rows) == len(EDGE_ROWS)
+    near = spark.createDataFrame([(1, "alpha beta delta gamma")], "item_id long, text string")
+    assert decontamination.find_contamination(edge, near).where("size(hits) > 0").count() == 0
+    assert decontamination.find_contamination(edge, near, slop=1).where("size(hits) > 0").count() == 4
+    assert decontamination.find_contamination(edge, items.limit(0)).where("size(hits) > 0").count() == 0
+    assert decontamination.find_contamination(edge.limit(0), items).count() == 0
+
+
+def test_urls(spark):
+    rows = [(1, "http://A.Example.org/es/x?y"), (2, "http://example.org/en/12"), (3, "http://b.com/fr/"), (4, "http://b.com/de/1"), (5, "http://spam-farm.x.net/a"),
+            (6, "http://notspam-farm.x.net/a"), (7, None), (8, "no scheme"), (9, "https://x.org"), (1, "http://A.Example.org/es/x?y")]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, rule string")
+    out = _by_row(url_filters.judge_urls(pages).collect(), "page_id", "host", "rule", "verdict")
+    assert out == sorted([
+        (1, "a.example.org", "example.org/es/", "block"), (1, "a.example.org", "example.org/es/", "block"), (2, "example.org", "example.org/en/1", "block"),
+        (3, "b.com", "com/fr/", "allow"), (4, "b.com", "com/de/", "block"), (5, "spam-farm.x.net", None, "block"), (6, "notspam-farm.x.net", None, "allow"),
+        (7, "", None, "allow"), (8, "", None, "allow"), (9, "x.org", None, "allow")], key=repr)
+    assert url_filters.judge_urls(pages.limit(0)).count() == 0
+
+
+def test_languages(spark, edge):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = language_id.id_remainder("doc_id", 5) == 0
+    found = language_id.identify(docs.where(held), language_id.fit_languages(docs.where(~held))).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.95
+    out = {r.doc_id: r for r in language_id.identify(edge, language_id.fit_languages(docs)).collect()}
+    assert out[4].lang_pred == out[5].lang_pred == out[9].lang_pred == "und" and out[5].score == 0
+    assert all(r.lang_pred == "und" for r in language_id.identify(edge, {}).collect())
+
+
+def test_toxicity(spark, edge):
+    rng = np.random.default_rng(4)
+    plain = ["".join(rng.choice(list("aeinrst"), 6)) for _ in range(80)]
+    texts = [" ".join(rng.choice(plain, 20)) for _ in range(240)]
+    labels = [i % 2 for i in range(240)]
+    texts = [t + f" zudkopf{rng.choice(list('abcdefgh'))}" * 2 if y else t for t, y in zip(texts, labels)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, y) for i, y in enumerate(labels)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, known)
+    new = spark.createDataFrame([(1, " ".join(plain[:20])), (2, " ".join(plain[20:40]) + " zudkopfxy zudkopfz")], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in toxicity.score_toxicity(new, model).collect()}
+    assert score[1] < 0.5 < score[2]
+    rows = toxicity.score_toxicity(edge, model).collect()
+    assert len(rows) == len(EDGE_ROWS) and all(0 <= r.score <= 1 for r in rows)
+    assert toxicity.drop_toxic(edge, model).columns == edge.columns
+    assert toxicity.score_toxicity(edge.limit(0), model).count() == 0
+
+
+def test_pipeline(spark):
+    docs = corpus_pipeline.run(spark, SF)
+    before = spark.read.parquet(f"{SF}/documents.parquet")
+    ids = {r.doc_id for r in docs.select("doc_id").distinct().collect()}
+    assert ids and ids < {r.doc_id for r in before.collect()}
+    assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_duplicates", "decontamination", "packing"]

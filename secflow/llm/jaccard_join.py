@@ -26,7 +26,7 @@ PERCENT = 85
 #: Ways to gather similar classes, by the least shingle under that many hash functions.
 FAMILIES = 4
 #: Most members of a group, and most queries that open a group in one task.
-GROUP = 128
+GROUP = 512
 QUERIES = 512
 
 

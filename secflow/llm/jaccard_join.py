@@ -2,10 +2,11 @@
 
 Documents with equal sets become one class. A class takes part only where enough of its shingles
 occur in other classes. Similar classes are gathered into groups of bounded size, in several ways; their
-members are linked among themselves. The matrix row of a group of the first way is the union of its
-members' shingles. A class
-then queries the groups that hold one of its rarest shingles: its overlap with the group's union
-bounds its overlap with any member, and only groups that reach the threshold are opened.
+members are linked among themselves. Each class then belongs to the largest of its groups, whose matrix
+row is the union of its members' shingles. A class queries the groups that hold one of its rarest
+shingles: what both sides have from that shingle on bounds the overlap before any set is fetched, the
+overlap with the group's union bounds the overlap with any member, and only groups that reach the
+threshold are opened.
 """
 
 from __future__ import annotations
@@ -168,10 +169,10 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for _, a, b in runs], pa.binary()),
         })
 
-    active_schema = "digest binary, n int, tokens binary, prefix array<long>, families array<long>"
+    active_schema = "digest binary, n int, tokens binary, prefix array<long>, rest array<int>, families array<long>"
 
     def active(table: pa.Table, replies: pa.Table) -> pa.Table:
-        out: dict[str, list] = {name: [] for name in ("digest", "n", "tokens", "prefix", "families")}
+        out: dict[str, list] = {name: [] for name in ("digest", "n", "tokens", "prefix", "rest", "families")}
         bucket_of, payload = replies["bucket"].to_pylist(), replies["payload"].to_pylist()
         home = {p for b, p in zip(bucket_of, payload) if b is None}
         if home:
@@ -190,9 +191,11 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out["digest"].append(s.digests[i])
                 out["n"].append(len(own))
                 out["tokens"].append(own.tobytes())
-                out["prefix"].append(own[order[level[order] > 0]].view(np.int64))
+                shared = np.flatnonzero(level[order])
+                out["prefix"].append(own[order[shared]].view(np.int64))
+                out["rest"].append((len(own) - shared).astype(np.int32))
                 out["families"].append([int(mix(own ^ U64(seed)).min().view(np.int64)) for seed in range(FAMILIES)])
-        types = (pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        types = (pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()))
         return pa.table({name: pa.array(v, t) for (name, v), t in zip(out.items(), types)})
 
     def link_members(table: pa.Table) -> pa.Table:
@@ -248,17 +251,23 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     inside = common.stored(inside, "group-links")
     first = common.stored(components(inside), "group-components")
 
-    member = (sets.join(dealt.where("way = 0").select("digest", "family", "part"), "digest")
+    home = (dealt.groupBy("digest").agg(F.max(F.struct("members", "way", "family", "part")).alias("home"))
+            .select("digest", F.xxhash64("home.way", "home.family").alias("family"), "home.part"))
+    member = (sets.join(home, "digest")
               .join(first, F.col("digest") == first.node, "left").withColumn("component", F.coalesce("component", "digest"))
-              .select("digest", "n", "family", "part", "component", "tokens", "prefix"))
+              .select("digest", "n", "family", "part", "component", "tokens", F.arrays_zip("prefix", "rest").alias("prefix")))
     member = common.stored(member, "group-members")
-    postings = member.select("digest", "n", "family", "part", "component", F.explode("prefix").alias("token"))
+    # A set has ``rest`` tokens from a shared one on, so with another of m tokens, whose first common one it is,
+    # it can link only where (100 + percent) * rest >= percent * (n + m), that is slack >= percent * m.
+    postings = (member.select("digest", "n", "family", "part", "component", F.explode("prefix").alias("at"))
+                .select("digest", "n", "family", "part", "component", F.col("at.prefix").alias("token"),
+                        ((100 + percent) * F.col("at.rest").cast("long") - percent * F.col("n")).alias("slack")))
     open_tokens = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     postings = common.stored(postings.join(open_tokens, "token"), "open-postings")
-    rows_of = postings.groupBy("token", "family", "part").agg(F.min("component").alias("to"), F.min("n").alias("least"), F.max("n").alias("most"))
+    rows_of = postings.groupBy("token", "family", "part").agg(F.min("component").alias("to"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("slack").alias("room"))
     other = rows_of.withColumnsRenamed({"family": "to_family", "part": "to_part"})
     asks = (postings.join(other, "token").where("component > to AND NOT (family = to_family AND part = to_part)")
-            .where(f"100 * most >= {percent} * n AND {percent} * least <= 100 * n")
+            .where(f"100 * most >= {percent} * n AND {percent} * least <= 100 * n AND slack >= {percent} * least AND room >= {percent} * n")
             .select("digest", F.col("to_family").alias("family"), F.col("to_part").alias("part")).distinct())
     asks = common.stored(asks, "group-queries")
     salts = asks.groupBy("family", "part").agg(F.ceil(F.count("*") / queries).cast("int").alias("salts"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions import special
 from secflow.functions.columns import long_form
-from secflow.operators.ranking import average_ranks, exact_quantiles
+from secflow.operators.ranking import average_ranks, exact_quantiles, running_totals
 
 
 def ks_normality(df: DataFrame, column: str) -> DataFrame:
@@ -154,12 +154,16 @@ def chi2_scores(df: DataFrame, columns: list[str], label: str) -> DataFrame:
 
 
 def binned_mutual_information(df: DataFrame, columns: list[str], label: str, bins: int = 20) -> DataFrame:
-    """Mutual information (nats) of each column, cut into equal bins, with the label."""
+    """Mutual information (nats) of each column with the label, the column cut into bins of about equal counts.
+
+    The rows below a value give its bin, so equal values share one and far values widen no other.
+    """
     long = long_form(df, columns, [label]).filter("value IS NOT NULL")
-    ends = long.groupBy("column").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("*").alias("_n"))
-    spot = F.floor(F.try_divide((F.col("value") - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo")))
-    cut = long.join(F.broadcast(ends), "column").withColumn("_bin", F.coalesce(F.least(spot, F.lit(bins - 1)), F.lit(0)))
-    cells = cut.groupBy("column", "_n", "_bin", label).agg(F.count("*").alias("c"))
+    counts = long.groupBy("column", "value", label).agg(F.count("*").alias("c"))
+    below = running_totals(long, "value", {"n": F.count("*")}, ["column"])
+    spot = F.floor((F.col("n_upto") - F.col("n")) * bins / F.col("n_all"))
+    binned = below.select("column", "value", F.col("n_all").alias("_n"), spot.alias("_bin"))
+    cells = counts.join(binned, ["column", "value"]).groupBy("column", "_n", "_bin", label).agg(F.sum("c").alias("c"))
     by_bin = cells.groupBy("column", "_bin").agg(F.sum("c").alias("b"))
     by_label = cells.groupBy("column", label).agg(F.sum("c").alias("l"))
     joined = cells.join(by_bin, ["column", "_bin"]).join(by_label, ["column", label])

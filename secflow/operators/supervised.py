@@ -37,19 +37,22 @@ class Classifier:
         raise NotImplementedError
 
     def fit(self, df: DataFrame, validation: DataFrame | None = None) -> "Classifier":
-        """Fit on ``df``; validation rows steer early stopping where the learner supports it."""
+        """Fit on ``df``; validation rows of its classes steer early stopping where the learner supports it."""
         numbers = self.numeric if self.numeric is not None else numeric_columns(df, [*NON_FEATURES, self.label, self.weight])
         texts = self.text if self.text is not None else text_columns(df, [*NON_FEATURES, self.label])
         scaler = scaling.fit_scaler(df, numbers, self.scaler)
         keep = [*numbers, *texts, self.label, *([self.weight] if self.weight else [])]
         train = df.select(*keep)
-        if validation is not None and self.uses_validation():
-            train = train.withColumn("_held", F.lit(False)).unionByName(validation.select(*keep).withColumn("_held", F.lit(True)))
         stages, coded = encoding.encoder_stages(texts, self.encoding)
         target = StringIndexer(inputCol=self.label, outputCol="_label", stringOrderType="alphabetAsc").fit(train)
         ready = Pipeline(stages=[*stages, VectorAssembler(inputCols=[*numbers, *coded], outputCol="_features")]).fit(train)
-        vectors = target.transform(ready.transform(scaler.transform(train))).select(
-            "_features", "_label", *(["_held"] if "_held" in train.columns else []), *([self.weight] if self.weight else [])
+        rows = train
+        if validation is not None and self.uses_validation():
+            known = F.col(self.label).cast("string").isin(target.labels)
+            held = validation.select(*keep).filter(known).withColumn("_held", F.lit(True))
+            rows = train.withColumn("_held", F.lit(False)).unionByName(held)
+        vectors = target.transform(ready.transform(scaler.transform(rows))).select(
+            "_features", "_label", *(["_held"] if "_held" in rows.columns else []), *([self.weight] if self.weight else [])
         ).persist()
         names = target.labels
         widest = max([2, *(len(ls) + 1 for s in ready.stages[:-1] if hasattr(s, "labelsArray") for ls in s.labelsArray)])

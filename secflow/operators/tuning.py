@@ -34,8 +34,8 @@ def draw(grid: dict[str, list], n: int, seed: int = 42) -> list[dict]:
     return every[:n]
 
 
-def cross_validate(df: DataFrame, kind: type[Classifier], settings: list[dict], folds: int = 3, parallelism: int = 4, **fixed) -> DataFrame:
-    """(params, mean, std, rank) of the area under the ROC curve, best first, at most ten rows.
+def cross_validate(df: DataFrame, kind: type[Classifier], settings: list[dict], folds: int = 3, parallelism: int = 4, top: int | None = None, **fixed) -> DataFrame:
+    """(params, mean, std, rank) of the area under the ROC curve, best first; ``top`` rows, or one per setting.
 
     Encoding and assembly run once; the folds work on one cached vector table.
     """
@@ -51,7 +51,7 @@ def cross_validate(df: DataFrame, kind: type[Classifier], settings: list[dict],
     ready.unpersist()
     table = sorted(zip(settings, cv.avgMetrics, cv.stdMetrics), key=lambda t: -t[1])
     rows_out = [(str(s), float(m), float(d), i + 1) for i, (s, m, d) in enumerate(table)]
-    return df.sparkSession.createDataFrame(rows_out, "params string, mean double, std double, rank int").orderBy("rank").limit(10)
+    return df.sparkSession.createDataFrame(rows_out[:top], "params string, mean double, std double, rank int").orderBy("rank")
 
 
 def _assembled(df: DataFrame, model: Classifier) -> tuple[DataFrame, int, int]:

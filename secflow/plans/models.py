@@ -11,6 +11,7 @@ from secflow.operators import cleaning, evaluation, splitting, two_stage
 from secflow.operators import supervised as su
 from secflow.operators import tuning as tu
 from secflow.plans.registry import query
+from secflow.session import checkpoint_folder
 from secflow.sources.views import CLASSES_SQL, FLOW_SQL, SCORES_SQL, class_view, flow_view, score_view, vector_view
 
 WF = f"WITH {FLOW_SQL} "
@@ -60,9 +61,8 @@ def forest_depths(spark, sf_dir):
 def boosted_importances(spark, sf_dir):
     """Mean gain per split, from the node table of the saved model; validation rows stop the boosting."""
     train, test = _halves(spark, sf_dir)
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/secflow-models"
     model = su.BoostedClassifier(**COLS, trees=10, depth=4, early_stop=True).fit(train, test)
-    return model.importances(spark, "gain", f"{folder}/boosted-{uuid.uuid4().hex}")
+    return model.importances(spark, "gain", f"{checkpoint_folder(spark)}/boosted-{uuid.uuid4().hex}")
 
 
 @query("M5")

@@ -88,8 +88,8 @@ def chi2_scores(spark, sf_dir):
     return round_doubles(hy.chi2_scores(_flow(spark, sf_dir), NUMS, "attack_cat").drop("p_value"), 4)
 
 
-@query("H6 X3", WF + ", " + ", ".join(f"""{c}_b AS (SELECT label, least(floor(({c} - lo) * 20 / (hi - lo)), 19) AS b, count(*) AS c
-FROM flows, (SELECT min({c}) AS lo, max({c}) AS hi FROM flows) GROUP BY 1, 2)""" for c in NUMS) + " " + _union("""SELECT '@' AS column,
+@query("H6 X3", WF + ", " + ", ".join(f"""{c}_b AS (SELECT label, b, count(*) AS c FROM
+(SELECT label, floor((rank() OVER (ORDER BY {c}) - 1) * 20 / count(*) OVER ()) AS b FROM flows WHERE {c} IS NOT NULL) GROUP BY 1, 2)""" for c in NUMS) + " " + _union("""SELECT '@' AS column,
 round(sum(c / n * ln(c * n / (bn * ln_))), 9) AS score FROM (SELECT c, sum(c) OVER () AS n, sum(c) OVER (PARTITION BY b) AS bn,
 sum(c) OVER (PARTITION BY label) AS ln_ FROM @_b)"""))
 def mutual_information_scores(spark, sf_dir):

@@ -28,13 +28,12 @@ def local_session(cpus: str | int = "*", app: str = "secflow", partitions: int =
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``, which the session then checkpoints to.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. A temporary one is made only for a
-    local master with the setting missing, so a lost executor never loses a checkpoint.
+    A temporary one is made only for a local master with the setting missing, so a lost executor
+    never loses a checkpoint.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,6 +42,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="secflow-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and read it back."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

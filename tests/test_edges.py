@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from secflow.operators.anomaly import fit_mixture
 from secflow.operators.dbscan import dbscan
 from secflow.operators.evaluation import classification_metrics
+from secflow.operators.hypothesis import binned_mutual_information
 from secflow.operators.neighbors import pairs_within
 from secflow.operators.profiling import histogram
+from secflow.operators.supervised import BoostedClassifier
 from secflow.sources.views import flow_view
 
 
@@ -48,3 +50,17 @@ def test_hub_with_more_spokes_than_a_block(spark):
 def test_pairs_of_no_rows(spark):
     df = spark.createDataFrame([(1, [0.0])], "row_id long, features array<double>").where(F.lit(False))
     assert pairs_within(df, 1.0).count() == 0
+
+
+def test_mutual_information_of_a_heavy_tail(spark):
+    x = [*np.exp(np.random.default_rng(5).normal(0, 2, 400)), 1e12]
+    rows = [(float(v), int(v > 1)) for v in x]
+    df = spark.createDataFrame([*rows, (None, 1)], "v double, label int")
+    assert 0.6 < binned_mutual_information(df, ["v"], "label").first()["score"] <= np.log(2)
+
+
+def test_encoders_do_not_see_validation_rows(spark):
+    train = spark.createDataFrame([(i, float(i % 7), "ab"[i % 2], i % 2) for i in range(40)], "row_id int, x double, proto string, label int")
+    held = spark.createDataFrame([(100, 1.0, "z", 0), (101, 2.0, "a", 1), (102, 3.0, "a", 7)], train.schema)
+    model = BoostedClassifier(numeric=["x"], text=["proto"], trees=2, depth=2, early_stop=True).fit(train, held)
+    assert list(map(list, model.fitted["ready"].stages[0].labelsArray)) == [["a", "b"]] and model.fitted["classes"] == ["0", "1"]

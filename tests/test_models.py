@@ -62,6 +62,8 @@ def test_two_stage_run(planted):
 def test_searches(planted):
     found = tuning.tune_logistic(planted, {"C": [0.001, 1.0], "penalty": ["l2"]}, 2, **COLS, most_rounds=10).collect()
     assert [r["rank"] for r in found] == [1, 2] and found[0]["mean"] >= found[1]["mean"] > 0.5
+    one = tuning.tune_logistic(planted, {"C": [0.001, 1.0], "penalty": ["l2"]}, 2, **COLS, most_rounds=10, top=1).collect()
+    assert one == found[:1]
     assert len(tuning.draw(tuning.BOOSTED_GRID, 50)) == 50
     assert len(tuning.combinations(tuning.FOREST_GRID)) == 72
 

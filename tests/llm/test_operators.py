@@ -55,6 +55,41 @@ def test_compression(spark, edge):
     assert not compression.in_band(5000, 0.95, compression.BANDS) and compression.in_band(5000, 0.45, compression.BANDS)
 
 
+def _noise(rng, alphabet, size, longest):
+    """Random characters in words of 4 to ``longest``, one blank between them."""
+    out = rng.choice(np.frombuffer(alphabet, np.uint8), size)
+    blanks = np.cumsum(rng.integers(4, longest + 1, size) + 1) - 1
+    out[blanks[blanks < size]] = 32
+    return out.tobytes().decode()
+
+
+def test_compression_rejects_noise_in_every_band(spark):
+    rng = np.random.default_rng(3)
+    base64, printable = bytes(c for c in range(33, 127) if chr(c).isalnum() or chr(c) in "+/"), bytes(range(33, 127))
+    ends = [b[0] for b in compression.BANDS[2:]] + [200_000]
+    texts = [_noise(rng, a, size, longest) for a in (base64, printable) for longest in (4, 8, 60)
+             for start, end in zip([b[0] for b in compression.BANDS[1:]], ends) for size in (start, end - 1)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r for r in compression.compression_quality(docs).collect()}
+    # Words of four characters have a fifth of blanks, so only the longer ones are held to every band.
+    held = [r for i, r in found.items() if i % (len(texts) // 2) >= len(texts) // 6]
+    assert not any(r.kept for r in held)
+    assert all(not compression.in_band(len(texts[r.doc_id]), r.ratio, compression.BANDS) for r in held)
+    assert all(r.n_bad_chunks == r.n_chunks for r in held if len(texts[r.doc_id]) % compression.CHUNK in (0, 4095))
+
+
+def test_compression_rejects_noisy_chunks_of_a_passing_whole(spark):
+    rng = np.random.default_rng(4)
+    plain = next(d.text for d in spark.read.parquet(f"{SF}/documents.parquet").orderBy(F.desc("n_chars")).collect()
+                 if compression.in_band(4096, len(zlib.compress(d.text.encode()[:4096])) / 4096, ((0, 0.3, 0.6),)))
+    clean = plain[:4096].encode("ascii", "replace").decode()
+    base64 = bytes(c for c in range(33, 127) if chr(c).isalnum() or chr(c) in "+/")
+    text = clean * 2 + _noise(rng, base64, 3 * 4096, 8)
+    row = compression.compression_quality(spark.createDataFrame([(1, text), (2, clean)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert compression.in_band(len(text.encode()), row[0].ratio, compression.BANDS) and not row[0].base_failed
+    assert row[0].n_bad_chunks == 3 and row[0].n_chunks == 5 and not row[0].kept and row[1].n_bad_chunks == 0
+
+
 def test_line_dedup_edges(edge):
     rows = line_dedup.remove_repeated_lines(edge).collect()
     assert _by_row([r for r in rows if r.doc_id in (7, 8, 9)], "doc_id", "text", "n_removed") == [

@@ -6,7 +6,8 @@ members are linked among themselves. Each class then belongs to the largest of i
 row is the union of its members' shingles. A class queries the groups that hold one of its rarest
 shingles: what both sides have from that shingle on bounds the overlap before any set is fetched, the
 overlap with the group's union bounds the overlap with any member, and only groups that reach the
-threshold are opened.
+threshold are opened. Components need one link between two classes already known to be connected; link
+counts need all of them, so for those every class asks every group that passes the bounds, its own as well.
 """
 
 from __future__ import annotations
@@ -114,14 +115,16 @@ def _edge_table(edges: list[tuple[bytes, bytes]]) -> pa.Table:
 
 
 def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
-                 group: int = GROUP, queries: int = QUERIES, chunk_bytes: int = common.CHUNK_BYTES) -> DataFrame:
+                 group: int = GROUP, queries: int = QUERIES, chunk_bytes: int = common.CHUNK_BYTES, links: bool = False) -> DataFrame:
     """Set size and component of every row, where sets link at ``100 * overlap >= percent * union``.
 
     A set holds the distinct shingles of ``words`` consecutive words (A-Z lower-cased, words being runs
     of anything but space and the controls 9 to 13); a shorter text is one shingle. Returns ``doc_id``,
     ``text_hash`` (xxhash64), ``digest`` (of the set), ``component`` (a member's digest), ``n_shingles``
     and ``component_id``, the least id reachable by links, one row per input row; other columns are
-    ignored, whatever their names.
+    ignored, whatever their names. With ``links`` there is ``n_links`` too: the other rows that a row links
+    with, those of equal set included. It compares each pair of classes that passes the bounds, once from
+    each side, and emits a count per class and group asked, never pairs.
 
     Null and blank texts have an empty set, link with nothing and stand alone under their own id. Equal
     sets always link, whatever their ids. Null ids take part, but give a component its id only when it
@@ -215,6 +218,21 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 edges += [(digest[hub], digest[i]) for i in near]
         return _edge_table(edges)
 
+    def count_links(table: pa.Table) -> pa.Table:
+        """Rows of the group that link with each query, those of its own class aside."""
+        is_query = table["query"].to_numpy().astype(bool)
+        members, asked = table.filter(pa.array(~is_query)), table.filter(pa.array(is_query))
+        matrix, copies = _Matrix(_sets(members)), members["copies"].to_numpy()
+        place = {d: i for i, d in enumerate(members["digest"].to_pylist())}
+        counts = []
+        for q, tokens in zip(asked["digest"].to_pylist(), _sets(asked)):
+            marks, n = matrix.overlap_bound(tokens), 0
+            if 100 * int(marks.sum()) >= percent * len(tokens):
+                near = matrix.links(marks, len(tokens), percent)
+                n = int(copies[near[near != place.get(q, -1)]].sum())
+            counts.append(n)
+        return pa.table({"digest": asked["digest"], "n_links": pa.array(counts, pa.int64())})
+
     def open_group(table: pa.Table) -> pa.Table:
         """Links from each query to members of other components, one per component."""
         is_query = table["query"].to_numpy().astype(bool)
@@ -231,7 +249,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     judged = by_chunk.applyInArrow(digests, "chunk int, doc_id long, text_hash long, n_shingles long, digest binary")
     judged = common.stored(judged, "shingle-sets")
-    classes = judged.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.min("chunk").alias("chunk"))
+    classes = judged.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.min("chunk").alias("chunk"), F.count("*").alias("copies"))
     homes = classes.select("chunk", F.lit(None).cast("int").alias("bucket"), F.col("digest").alias("payload"))
     levels = (by_chunk.cogroup(homes.groupBy("chunk")).applyInArrow(send_tokens, "bucket int, chunk int, keys binary, counts binary")
               .groupBy("bucket").applyInArrow(_token_levels, "chunk int, bucket int, payload binary"))
@@ -262,6 +280,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     postings = (member.select("digest", "n", "family", "part", "component", F.explode("prefix").alias("at"))
                 .select("digest", "n", "family", "part", "component", F.col("at.prefix").alias("token"),
                         ((100 + percent) * F.col("at.rest").cast("long") - percent * F.col("n")).alias("slack")))
+    every_posting = postings
     open_tokens = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     postings = common.stored(postings.join(open_tokens, "token"), "open-postings")
     rows_of = postings.groupBy("token", "family", "part").agg(F.min("component").alias("to"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("slack").alias("room"))
@@ -281,9 +300,31 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     last = components(inside.unionByName(across))
     found = classes.join(last, classes.digest == last.node, "left").withColumn("component", F.coalesce("component", "digest"))
     least = found.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = found.join(least, "component").select("digest", "component", "component_id")
-    return judged.join(of_class, "digest", "left").select(
-        "doc_id", "text_hash", "digest", "component", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    of_class = found.join(least, "component").select("digest", "component", "component_id", "copies")
+    columns = ["doc_id", "text_hash", "digest", "component", "n_shingles",
+               F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")]
+    if not links:
+        return judged.join(of_class, "digest", "left").select(*columns)
+
+    every_posting = common.stored(every_posting.drop("component"), "all-postings")
+    rows_of = every_posting.groupBy("token", "family", "part").agg(
+        F.count("*").alias("sets"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("slack").alias("room"))
+    other = rows_of.withColumnsRenamed({"family": "to_family", "part": "to_part"})
+    asks = (every_posting.join(other, "token").where("NOT (family = to_family AND part = to_part AND sets = 1)")
+            .where(f"100 * most >= {percent} * n AND {percent} * least <= 100 * n AND slack >= {percent} * least AND room >= {percent} * n")
+            .select("digest", F.col("to_family").alias("family"), F.col("to_part").alias("part")).distinct())
+    asks = common.stored(asks, "link-queries")
+    salts = asks.groupBy("family", "part").agg(F.ceil(F.count("*") / queries).cast("int").alias("salts"))
+    asked = (asks.join(salts, ["family", "part"]).join(member.select("digest", "tokens"), "digest")
+             .select("family", "part", F.pmod(F.xxhash64("digest"), "salts").cast("int").alias("salt"), F.lit(True).alias("query"),
+                     "digest", "tokens", F.lit(0).cast("long").alias("copies")))
+    held = (member.join(salts, ["family", "part"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            .join(classes.select("digest", "copies"), "digest")
+            .select("family", "part", "salt", F.lit(False).alias("query"), "digest", "tokens", "copies"))
+    counted = asked.unionByName(held).groupBy("family", "part", "salt").applyInArrow(count_links, "digest binary, n_links long")
+    counted = counted.groupBy("digest").agg(F.sum("n_links").alias("n_links"))
+    n_links = F.when(F.col("digest").isNull(), 0).otherwise(F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links")
+    return judged.join(of_class.join(counted, "digest", "left"), "digest", "left").select(*columns, n_links)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings: int) -> DataFrame:

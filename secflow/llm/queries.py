@@ -84,6 +84,14 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT id, min(root) AS least FROM
 """
 
 
+def op5_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_similar(_table(spark, sf_dir, "documents"), links=True).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+OP5_LINKS_SQL = OP5_SQL.replace("AS component_id\n", "AS component_id, CAST(coalesce(l.n_links, 0) AS BIGINT) AS n_links\n") + (
+    "LEFT JOIN (SELECT a, count(*) AS n_links FROM f GROUP BY a) l ON l.a = d.doc_id\n")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
@@ -166,6 +174,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_compression_bands, op2_line_dedup, op3_substring_dedup, op4_toxicity, op5_jaccard_join, op6_secret_scan, op7_best_fit_packing,
+    op1_compression_bands, op2_line_dedup, op3_substring_dedup, op4_toxicity, op5_jaccard_join, op5_jaccard_links, op6_secret_scan, op7_best_fit_packing,
     op8_decontamination, op9_url_filters, op10_language_id)}
-ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL}
+ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op5_jaccard_links": OP5_LINKS_SQL,
+           "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL}

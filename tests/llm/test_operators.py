@@ -162,6 +162,35 @@ def test_jaccard_near_copies_in_small_groups(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in _components(rows, 4, 85)})
 
 
+def _links(rows, words, percent):
+    sets = []
+    for _, text, *_ in rows:
+        w = _words((text or "").lower())
+        sets.append({tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    return [sum(j != i and bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+
+
+def test_jaccard_links(spark, edge):
+    found = jaccard_join.join_similar(edge, percent=70, chunk_bytes=64, links=True)
+    assert _by_row(found.collect(), "doc_id", "n_shingles", "component_id", "n_links") == sorted(
+        ((*c, n) for c, n in zip(_components(EDGE_ROWS, 4, 70), _links(EDGE_ROWS, 4, 70))), key=repr)
+    assert jaccard_join.join_similar(edge.limit(0), links=True).count() == 0
+    # A chain: each text shares enough with the next, not with the one after; the middle ones come twice.
+    chain = [(i, " ".join(f"w{j}" for j in range(8 * (i % 12), 8 * (i % 12) + 120)), None, None) for i in range(20)]
+    # and near copies in more groups than one
+    rng = np.random.default_rng(2)
+    for i in range(20, 80):
+        w = [f"u{j}" for j in range(60)]
+        for j in rng.integers(0, 60, i % 4):
+            w[j] = f"v{rng.integers(99)}"
+        chain.append((i, " ".join(w), None, None))
+    found = jaccard_join.join_similar(spark.createDataFrame(chain, EDGE_SCHEMA), group=4, queries=3, chunk_bytes=256, links=True)
+    want = _links(chain, 4, 85)
+    assert len(set(want[:12])) > 1 and len(set(want[20:])) > 1
+    assert _by_row(found.collect(), "doc_id", "component_id", "n_links") == sorted(
+        ((c[0], c[2], n) for c, n in zip(_components(chain, 4, 85), want)), key=repr)
+
+
 def test_secrets(spark, edge):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(edge.where("doc_id = 10").select("doc_id", "text"))
     patterns = (re.compile(secrets.ASSIGN.replace("(?i:", "(?:(?i:").replace("api_?key)", "api_?key))")), re.compile(secrets.ACCESS), re.compile(secrets.HEX))

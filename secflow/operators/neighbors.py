@@ -6,7 +6,8 @@ inequality a row only visits cells that can hold a neighbour within its bound: t
 the distance to its k-th nearest pivot. Crowded cells and crowded visits are cut into chunks of
 bounded size, so every task compares one small block with another and emits only what the
 caller aggregates (k rows, a count, a nearest one), never the pairs. Identical vectors are
-merged first, so copies cost one row.
+merged first, so copies cost one row. Only ``pairs_within`` lists pairs; it unfolds the copies
+after the blocks are compared.
 """
 
 from __future__ import annotations
@@ -190,8 +191,10 @@ def nearest(
 def pairs_within(
     df: DataFrame, radius: float, metric: str = "euclidean", key: str = "row_id", features: str = "features", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """(left, right, distance) of distinct vectors at most ``radius`` apart, each pair once."""
-    points = distinct_vectors(_vectors(df, key, features)).drop("weight")
+    """(left, right, distance) of rows at most ``radius`` apart, ``left < right``, copies of one vector included."""
+    rows = _vectors(df, key, features)
+    distinct = distinct_vectors(rows)
+    points = distinct.drop("weight")
     cells, placed = build_cells(points, metric, block_rows)
     limit = internal(radius, metric)
 
@@ -199,7 +202,34 @@ def pairs_within(
         if not d.size:
             return pd.DataFrame({"left": [], "right": [], "distance": []})
         a, b = l["id"].to_numpy()[:, None], r["id"].to_numpy()[None, :]
-        i, j = np.nonzero((d <= limit) & (a < b))
+        if metric == "cosine":  # a vector to itself, free of rounding (zero vectors stay at 1)
+            d = np.where((a == b) & (d < 1), 0.0, d)
+        i, j = np.nonzero((d <= limit) & (a <= b))
         return pd.DataFrame({"left": a[i, 0], "right": b[0, j], "distance": reported(d[i, j], metric)})
 
-    return block_join(points, cells, placed, close, "left long, right long, distance double", radius=limit)
+    near = block_join(points, cells, placed, close, "left long, right long, distance double", radius=limit)
+    if distinct.filter("weight > 1").isEmpty():
+        return near.filter("left < right")
+    return _unfolded(near, rows, distinct, block_rows)
+
+
+def _unfolded(near: DataFrame, rows: DataFrame, distinct: DataFrame, block_rows: int) -> DataFrame:
+    """Pairs of rows from pairs of lowest copies: the copies of a vector lie in lists of about ``block_rows`` ids,
+    and every two lists of a pair meet in a row of their own."""
+    parts = F.ceil(F.col("weight") / block_rows).cast("int")
+    owners = distinct.select(F.col("id").alias("owner"), "features", parts.alias("parts"))
+    lists = (rows.join(owners, "features").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+             .groupBy("owner", "part").agg(F.collect_list("id").alias("ids")))
+
+    def side(name: str) -> DataFrame:
+        return owners.select(F.col("owner").alias(name), F.sequence(F.lit(0), F.col("parts") - 1).alias(f"{name}_parts"))
+
+    def ids(name: str) -> DataFrame:
+        return lists.select(F.col("owner").alias(name), F.col("part").alias(f"{name}_part"), F.col("ids").alias(f"{name}_ids"))
+
+    met = near.join(side("left"), "left").join(side("right"), "right")
+    met = met.withColumn("left_part", F.explode("left_parts")).withColumn("right_part", F.explode("right_parts"))
+    met = met.join(ids("left"), ["left", "left_part"]).join(ids("right"), ["right", "right_part"])
+    pairs = met.select((F.col("left") == F.col("right")).alias("same"), "distance", "right_ids", F.explode("left_ids").alias("a")).select(
+        "same", "distance", "a", F.explode("right_ids").alias("b"))
+    return pairs.filter("a < b OR NOT same").select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right"), "distance")

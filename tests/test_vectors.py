@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,33 @@ def test_pairs_within_radius(spark):
     assert got == {(i, j) for i in range(80) for j in range(i + 1, 80) if d[i, j] <= 0.4}
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "cosine"])
+def test_pairs_within_radius_lists_copies(spark, metric):
+    x = np.vstack([RNG.normal(3, 1, (40, 2)), RNG.normal(3, 1, (5, 2)).repeat(12, axis=0)])
+    radius = 0.4 if metric != "cosine" else 0.01
+    got = [(r["left"], r["right"]) for r in neighbors.pairs_within(frame(spark, x), radius, metric, block_rows=8).collect()]
+    d = distances(x, x, metric)
+    assert sorted(got) == [(i, j) for i in range(100) for j in range(i + 1, 100) if d[i, j] <= radius]
+
+
+def test_close_pairs_with_copies_equal_sql(spark, tmp_path):
+    """The registered query on a table of embeddings with repeated vectors, against its SQL twin."""
+    from secflow.plans import load_all
+
+    embeddings = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    copies = embeddings.filter("vec_id % 5 = 0").selectExpr("vec_id + 100000 AS vec_id", "embedding", "label")
+    few = embeddings.filter("vec_id % 50 = 1").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(30)))).selectExpr("200000 + 1000 * vec_id + n AS vec_id", "embedding", "label")
+    made = embeddings.unionByName(copies).unionByName(few)
+    made.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    entry = load_all()["close_pairs"]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.execute(f"SELECT \"left\", \"right\", distance FROM ({entry.sql})").fetchall()
+    got = [(r["left"], r["right"], r["distance"]) for r in entry.plan(spark, str(tmp_path)).collect()]
+    assert {(a, b) for a, b, _ in got} == {(a, b) for a, b, _ in want} and len(got) == len(want)
+    assert [d for *_, d in sorted(got)] == pytest.approx([d for *_, d in sorted(want)], abs=2e-6)
+
+
 def test_dbscan_matches_brute_force(spark):
     x = blobs()
     core, label = brute_dbscan(x, 0.5, 5)

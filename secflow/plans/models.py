@@ -157,24 +157,24 @@ def oversampled_classes(spark, sf_dir):
 def two_stage_run(spark, sf_dir):
     train, test = _halves(spark, sf_dir)
     final = two_stage.run_two_stage(
-        train, test, su.BoostedClassifier(**COLS, trees=5, depth=4),
-        su.ForestClassifier(**COLS, label="attack_cat", trees=10, depth=8, least_leaf=2))
+        train, test, su.BoostedClassifier(**COLS),
+        su.ForestClassifier(**COLS, label="attack_cat", least_leaf=2))
     return two_stage.outcome_counts(final.withColumn("true_class", cleaning.true_class()))
 
 
 @query("G2")
 def logistic_search(spark, sf_dir):
-    return tu.tune_logistic(_flow(spark, sf_dir), {"C": [0.01, 1.0], "penalty": ["l1", "l2"]}, 2, **COLS, most_rounds=20)
+    return tu.tune_logistic(_flow(spark, sf_dir), **COLS)
 
 
 @query("G3")
 def forest_search(spark, sf_dir):
-    return tu.tune_forest(_flow(spark, sf_dir), {"trees": [5, 10], "depth": [4]}, 2, **COLS)
+    return tu.tune_forest(_flow(spark, sf_dir), **COLS)
 
 
 @query("G4")
 def boosted_search(spark, sf_dir):
-    return tu.tune_boosted(_flow(spark, sf_dir), {"rate": [0.05, 0.1], "depth": [2, 3], "trees": [3]}, 2, 2, **COLS)
+    return tu.tune_boosted(_flow(spark, sf_dir), **COLS)
 
 
 @query("G10 G12")
@@ -221,11 +221,11 @@ def kmeans_search(spark, sf_dir):
 @query("G6")
 def density_search(spark, sf_dir):
     df = vector_view(spark, sf_dir).withColumn("label", (F.col("label") >= 8).cast("int"))
-    return tu.tune_dbscan(df, [1.15], [3, 4], label="label")
+    return tu.tune_dbscan(df, [0.3, 0.5, 0.7, 1.0, 1.15], [3, 4, 5, 7, 10], label="label")
 
 
 @query("G7")
 def mixture_search(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     df = events.select(F.col("event_id").alias("row_id"), F.array("value", (F.col("user_id") % 10).cast("double")).alias("features"))
-    return tu.tune_mixture(df, [2], ["full", "tied", "diag", "spherical"])
+    return tu.tune_mixture(df, list(range(2, 11)), ["full", "tied", "diag", "spherical"])

@@ -126,12 +126,12 @@ def _named(spark, method, chosen):
 
 @query("X7")
 def selection_forward(spark, sf_dir):
-    return _named(spark, "forward", sel.stepwise(_flow(spark, sf_dir), BASE[:4], "label", 2, True, 2))
+    return _named(spark, "forward", sel.stepwise(_flow(spark, sf_dir), BASE, "label", 2, True))
 
 
 @query("X8")
 def selection_backward(spark, sf_dir):
-    return _named(spark, "backward", sel.stepwise(_flow(spark, sf_dir), BASE[:4], "label", 3, False, 2))
+    return _named(spark, "backward", sel.stepwise(_flow(spark, sf_dir), BASE, "label", 3, False))
 
 
 @query("X9")

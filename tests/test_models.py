@@ -115,3 +115,25 @@ def test_sources_and_sinks(spark, tmp_path):
     table = sinks.write_result(metrics, str(tmp_path / "r"))
     assert readers.read_result(spark, table, metrics.schema).collect() == metrics.collect()
     assert readers.read_result(spark, str(tmp_path / "absent"), metrics.schema).count() == 0
+
+
+def test_searches_see_whole_grids_and_all_columns(spark, monkeypatch):
+    from secflow.operators import selection, tuning
+    from secflow.plans import load_all
+    from secflow.plans.selection import BASE
+
+    seen = {}
+
+    def searched(df, kind, settings, folds, **fixed):
+        seen[kind.__name__] = (len(settings), folds, set(fixed))
+        return df
+
+    monkeypatch.setattr(tuning, "cross_validate", searched)
+    monkeypatch.setattr(tuning, "tune_mixture", lambda df, counts, kinds: seen.update(mixture=(counts, len(kinds))) or df)
+    monkeypatch.setattr(selection, "stepwise", lambda df, columns, label, n, forward, *rest: seen.update({forward: (columns, rest)}) or columns[:n])
+    monkeypatch.setattr(tuning, "tune_dbscan", lambda df, radii, least, label: seen.update(density=(len(radii), len(least))) or df)
+    for name in ("density_search", "logistic_search", "forest_search", "boosted_search", "mixture_search", "selection_forward", "selection_backward"):
+        load_all()[name].plan(spark, "/root/testdata/sf0.001")
+    columns = {"numeric", "text"}
+    assert seen == {"LogisticClassifier": (12, 5, columns), "ForestClassifier": (72, 3, columns), "BoostedClassifier": (50, 3, columns),
+                    "mixture": (list(range(2, 11)), 4), "density": (5, 5), True: (BASE, ()), False: (BASE, ())}

@@ -34,7 +34,7 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Visible ASCII and precomposed Latin letters: already normalised, and lower-cased letter by letter.
 _PLAIN = re.compile(r"[!-~À-įı-ɏ]+")
 _MARKS = (b".", b",")
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 200_000
 
 
 class WordEncoder:

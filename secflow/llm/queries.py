@@ -163,7 +163,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+    return pack_documents(_table(spark, sf_dir, "documents"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Toxicity: embeddings of subword bags, averaged into a linear softmax and trained jointly in NumPy.
 
 A word is the bag of its character n-grams, borders included, so a misspelling that was never seen
-shares most vectors with the words it was made from. A text is the average over the n-grams of all
-its words.
+shares most vectors with the words it was made from. Digits and mask characters inside a word belong
+to it, so "id1ot" and "id*ot" stay one word. A text is the average over the n-grams of all its words.
 """
 
 from __future__ import annotations
@@ -17,21 +17,25 @@ from pyspark.sql import functions as F
 
 from secflow.llm import common
 from secflow.llm.hashing import U64, SpanHash, mix
-from secflow.llm.letters import letter_codes
+from secflow.llm.letters import word_codes
 
 #: Rows of the embedding table, its width, and the lengths of n-grams.
 BUCKET_BITS, WIDTH, GRAMS = 18, 8, (4, 5, 6)
 #: Most labelled documents of class 0 and 1 that the model is fitted on: those of least id hash.
 MOST_BY_CLASS = (3000, 1500)
-STEPS, RATE, SCALE = 60, 0.05, 30.0
-#: A row is trained when this share of the fitted documents, and at least three, have it.
-LEAST_SHARE = 0.005
+STEPS, RATE, SCALE = 60, 0.05, 60.0
+#: A row is trained when at least so many of the fitted documents have it.
+LEAST_DOCS = 3
+#: N-grams of no weight that every bag holds besides its own, so that a handful of words can hardly reach the limit.
+PRIOR = 50
+#: Texts whose n-grams are held at a time while fitting.
+FIT_TEXTS = 100
 THRESHOLD = 0.7
 
 
 def subword_rows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, embedding row) of every n-gram that lies in one word with at most a border at either end."""
-    codes, owner = letter_codes(texts)
+    codes, owner = word_codes(texts)
     gaps = np.concatenate([[0], np.cumsum(codes == 0)])
     hasher, spread = SpanHash(41), mix(codes.astype(U64))
     at_all, rows = [], []
@@ -57,29 +61,37 @@ class SubwordModel:
 
 
 def bag_shares(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, row, share of the text's n-grams), each pair once."""
+    """(text, row, share of the text's n-grams), each pair once, by text."""
     owner, row = subword_rows(texts)
     pair, times = np.unique((owner.astype(np.int64) << BUCKET_BITS) | row, return_counts=True)
-    doc, row = pair >> BUCKET_BITS, pair & ((1 << BUCKET_BITS) - 1)
-    return doc, row, (times / np.bincount(doc, times)[doc]).astype(np.float32)
+    doc, row = (pair >> BUCKET_BITS).astype(np.int32), (pair & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
+    return doc, row, (times / (np.bincount(doc, times) + PRIOR)[doc]).astype(np.float32)
 
 
 def fit(texts: list[str | None], labels: np.ndarray, steps: int = STEPS, seed: int = 5) -> SubwordModel:
-    """Full-batch training in which both classes weigh the same; the order of the texts has no effect."""
+    """Full-batch training in which both classes weigh the same; the order of the texts has no effect.
+
+    Texts are cut into n-grams twice, a few at a time: once to count the documents of each row, once to
+    keep the bags of the rows that are trained. Only those bags stay in memory.
+    """
     order = sorted(range(len(texts)), key=lambda i: (texts[i] or "", labels[i]))
     texts, labels = [texts[i] for i in order], np.asarray(labels, np.int64)[order]
-    parts, start = [], 0
-    while start < len(texts):  # a few texts at a time, as n-grams take far more room than bags
-        doc, row, share = bag_shares(texts[start:start + 200])
-        parts.append((doc + start, row, share))
-        start += 200
-    buckets = 1 << BUCKET_BITS
-    doc, row, share = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
-    used = np.flatnonzero(np.bincount(row, minlength=buckets) >= max(3, LEAST_SHARE * len(labels)))
-    place = np.full(buckets, -1)
-    place[used] = np.arange(len(used))
-    trained = place[row] >= 0
-    doc, row, share = doc[trained], place[row[trained]], share[trained]
+    buckets, starts = 1 << BUCKET_BITS, range(0, len(texts), FIT_TEXTS)
+    docs_of = np.zeros(buckets, np.int32)
+    for start in starts:
+        docs_of += np.bincount(bag_shares(texts[start:start + FIT_TEXTS])[1], minlength=buckets).astype(np.int32)
+    used = np.flatnonzero(docs_of >= LEAST_DOCS)
+    place = np.full(buckets, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    nnz = int(docs_of[used].sum())
+    doc, row, share, at = np.empty(nnz, np.int32), np.empty(nnz, np.int32), np.empty(nnz, np.float32), 0
+    for start in starts:
+        d, r, part = bag_shares(texts[start:start + FIT_TEXTS])
+        kept = place[r] >= 0
+        to = slice(at, at + int(kept.sum()))
+        doc[to], row[to], share[to], at = d[kept] + start, place[r[kept]], part[kept], to.stop
+    # Pieces of whole bags, so that a step needs little beyond the bags themselves.
+    pieces = [slice(*np.searchsorted(doc, (i, i + FIT_TEXTS))) for i in starts]
 
     rng = np.random.default_rng(seed)
     model = SubwordModel(rng.normal(0, 0.01, (len(used), WIDTH)), rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2))
@@ -87,9 +99,12 @@ def fit(texts: list[str | None], labels: np.ndarray, steps: int = STEPS, seed: i
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (model.table, model.weights, model.bias)]
     for step in range(1, steps + 1):
         rows, rest = model.log_odds()
-        odds = np.bincount(doc, share * rows[row], minlength=len(labels)) + rest
+        rows, odds, pull = rows.astype(np.float32), np.full(len(labels), rest), np.zeros(len(used))
+        for p in pieces:
+            odds += np.bincount(doc[p], share[p] * rows[row[p]], minlength=len(labels))
         error = weight * (1 / (1 + np.exp(-np.clip(odds, -50, 50))) - labels)  # of class 1; class 0 has its negative
-        pull = SCALE * np.bincount(row, share * error[doc], minlength=len(used))
+        for p in pieces:
+            pull += SCALE * np.bincount(row[p], share[p] * error[doc[p]], minlength=len(used))
         toward = model.table.T @ pull
         slopes = (np.outer(pull, model.weights[:, 1] - model.weights[:, 0]), np.stack([-toward, toward], 1), np.array([-1, 1]) * error.sum())
         for value, slope, m in zip((model.table, model.weights, model.bias), slopes, moments):
@@ -105,7 +120,7 @@ def fit(texts: list[str | None], labels: np.ndarray, steps: int = STEPS, seed: i
 def score_texts(texts: list[str | None], rows: np.ndarray, rest: float) -> np.ndarray:
     owner, row = subword_rows(texts)
     total = np.bincount(owner, minlength=len(texts))
-    odds = np.bincount(owner, rows[row], minlength=len(texts)) / np.maximum(total, 1) + rest
+    odds = np.bincount(owner, rows[row], minlength=len(texts)) / (total + PRIOR) + rest
     return np.where(total > 0, 1 / (1 + np.exp(-np.clip(odds, -50, 50))), 0.0)
 
 

@@ -44,8 +44,8 @@ def drop_contaminated_documents(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents and their places in training sequences."""
-    return pack_documents(docs, with_ids=False).drop("ids")
+    """Token pieces of the documents, with their ids, and their places in training sequences."""
+    return pack_documents(docs)
 
 
 STAGES = [

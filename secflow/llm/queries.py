@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from secflow.llm.compression import compression_quality
 from secflow.llm.decontamination import find_contamination
+from secflow.llm.importance import resample
 from secflow.llm.jaccard_join import join_similar
 from secflow.llm.language_id import fit_languages, id_remainder, identify
 from secflow.llm.line_dedup import remove_repeated_lines
 from secflow.llm.packing import pack_documents
 from secflow.llm.secrets import find_secrets
+from secflow.llm.spelling_groups import group_spellings
 from secflow.llm.substring_dedup import remove_repeated_passages
 from secflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
 from secflow.llm.url_filters import RULES, judge_urls
+from secflow.llm.vector_dedup import dedup_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -173,8 +176,96 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, languages).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+#: DuckDB expression for the unsigned crc32 of the UTF-8 bytes of ``{s}``, a bit at a time.
+def _crc32(s: str) -> str:
+    point = "unicode(substr({s}, i, 1))".format(s=s)
+    utf8 = (f"CASE WHEN {point} < 128 THEN [{point}] WHEN {point} < 2048 THEN [192 + ({point} >> 6), 128 + ({point} & 63)] "
+            f"WHEN {point} < 65536 THEN [224 + ({point} >> 12), 128 + (({point} >> 6) & 63), 128 + ({point} & 63)] "
+            f"ELSE [240 + ({point} >> 18), 128 + (({point} >> 12) & 63), 128 + (({point} >> 6) & 63), 128 + ({point} & 63)] END")
+    octets = f"flatten(list_transform(range(1, length({s}) + 1), lambda i: {utf8}))"
+    bits = f"flatten(list_transform({octets}, lambda b: [CAST(b AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda c, b: {step}), 4294967295)"
+
+
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+f AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT DISTINCT a AS root, a AS id FROM f UNION SELECT r.root, f.b FROM r JOIN f ON f.a = r.id)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(c.least, v.vec_id) AS component_id,
+       coalesce(c.least, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM f GROUP BY a) n ON n.a = v.vec_id
+LEFT JOIN (SELECT id, min(root) AS least FROM r GROUP BY id) c ON c.id = v.vec_id
+"""
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(_table(spark, sf_dir, "documents"))
+
+
+# Two words are one edit apart when they are equal with one letter blanked out in each, or in the longer one only.
+OP12_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+k AS (SELECT doc_id, run, count(*) AS n FROM d GROUP BY ALL),
+s AS (SELECT run, n, concat(doc_id, ':', run) AS s FROM k),
+h AS (SELECT run, n, {_crc32("s")} AS h FROM s),
+t AS (SELECT CASE WHEN h % 97 = 0 THEN concat(left(run, CAST(h % length(run) AS BIGINT)), substr(run, CAST(h % length(run) AS BIGINT) + 2)) ELSE run END AS word, n FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM t WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+x AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+y AS (SELECT word, n, i, concat(left(word, i - 1), substr(word, i + 1)) AS rest FROM x),
+e AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM y a JOIN y b USING (i, rest) WHERE a.word <> b.word
+      UNION SELECT a.word, a.n, b.word, b.n FROM y a JOIN w b ON b.word = a.rest
+      UNION SELECT b.word, b.n, a.word, a.n FROM y a JOIN w b ON b.word = a.rest),
+b AS (SELECT word, n, count(*) AS n_near, min(struct_pack(less := -other_n, form := other)) AS best FROM e GROUP BY word, n),
+g AS (SELECT word, n_near, CASE WHEN -best.less >= 2 * n THEN best.form END AS form, CASE WHEN -best.less >= 2 * n THEN -best.less END AS form_n FROM b),
+r AS (SELECT word, form AS root, 1 AS depth FROM g WHERE form IS NOT NULL UNION ALL
+      SELECT r.word, g.form, depth + 1 FROM r JOIN g ON g.word = r.root WHERE g.form IS NOT NULL)
+SELECT w.word, g.form, coalesce(z.root, w.word) AS root, w.n, CAST(coalesce(g.n_near, 0) AS BIGINT) AS n_near, CAST(g.form_n AS BIGINT) AS form_n
+FROM w LEFT JOIN g USING (word) LEFT JOIN (SELECT word, max_by(root, depth) AS root FROM r GROUP BY word) z USING (word)
+"""
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = rf"""
+WITH l AS (SELECT doc_id, FALSE AS target, text FROM documents UNION ALL SELECT NULL, TRUE, text FROM benchmark),
+d AS (SELECT row_number() OVER () AS row_id, doc_id, target, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM l),
+o AS (SELECT row_id, target, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT row_id, target, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (VALUES (1), (2), (3)) t (n))),
+k AS (SELECT row_id, target, gram, count(*) AS n FROM o GROUP BY ALL),
+c AS (SELECT gram, {_crc32("gram")} % 10000 AS bucket FROM (SELECT DISTINCT gram FROM k)),
+b AS (SELECT bucket, CAST(sum(CASE WHEN target THEN 0 ELSE n END) AS DOUBLE) AS s, CAST(sum(CASE WHEN target THEN n ELSE 0 END) AS DOUBLE) AS t
+      FROM k JOIN c USING (gram) GROUP BY bucket),
+a AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM b),
+g AS (SELECT bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS gain FROM b, a),
+f AS (SELECT row_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight FROM k JOIN c USING (gram) JOIN g USING (bucket) GROUP BY row_id),
+p AS (SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             (CAST('0x' || substr(sha256(concat('42:', doc_id)), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE) AS u
+      FROM d LEFT JOIN f USING (row_id) WHERE NOT target),
+q AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln(u))) AS BIGINT) AS score FROM p),
+z AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+             count(*) OVER (PARTITION BY n_words >= 20) AS total FROM q)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= total * 5 // 100 THEN place END AS rank FROM z
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_compression_bands, op2_line_dedup, op3_substring_dedup, op4_toxicity, op5_jaccard_join, op5_jaccard_links, op6_secret_scan, op7_best_fit_packing,
-    op8_decontamination, op9_url_filters, op10_language_id)}
+    op8_decontamination, op9_url_filters, op10_language_id,
+    op11_vector_dedup, op12_spelling_groups, op13_importance_resampling)}
 ORACLES = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op5_jaccard_links": OP5_LINKS_SQL,
-           "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL}
+           "op8_decontamination": OP8_SQL, "op9_url_filters": OP9_SQL,
+           "op11_vector_dedup": OP11_SQL, "op12_spelling_groups": OP12_SQL, "op13_importance_resampling": OP13_SQL}

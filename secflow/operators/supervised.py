@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow.functions.columns import numeric_columns, text_columns
-from secflow.operators import encoding, evaluation, scaling
+from secflow.operators import boosting, encoding, evaluation, scaling
 from secflow.sources.schemas import NON_FEATURES
 
-# The forest and boosting libraries here stop at this depth; an unlimited depth means this one.
+# The forest library stops at this depth; an unlimited depth means this one.
 DEEPEST = 30
 
 
@@ -38,6 +41,13 @@ class Classifier:
 
     def fit(self, df: DataFrame, validation: DataFrame | None = None) -> "Classifier":
         """Fit on ``df``; validation rows of its classes steer early stopping where the learner supports it."""
+        vectors, parts, widest = self._assemble(df, validation)
+        self.fitted = {**parts, "model": self.estimator(vectors.count(), len(parts["classes"]), max(32, widest)).fit(vectors)}
+        vectors.unpersist()
+        return self
+
+    def _assemble(self, df: DataFrame, validation: DataFrame | None) -> tuple[DataFrame, dict, int]:
+        """The cached vector table, what prediction needs to assemble rows alike, and the most categories of a text feature."""
         numbers = self.numeric if self.numeric is not None else numeric_columns(df, [*NON_FEATURES, self.label, self.weight])
         texts = self.text if self.text is not None else text_columns(df, [*NON_FEATURES, self.label])
         scaler = scaling.fit_scaler(df, numbers, self.scaler)
@@ -56,13 +66,7 @@ class Classifier:
         ).persist()
         names = target.labels
         widest = max([2, *(len(ls) + 1 for s in ready.stages[:-1] if hasattr(s, "labelsArray") for ls in s.labelsArray)])
-        model = self.estimator(vectors.count(), len(names), max(32, widest)).fit(vectors)
-        self.fitted = {
-            "scaler": scaler, "ready": ready, "model": model, "classes": list(names),
-            "features": feature_names(vectors, "_features"),
-        }
-        vectors.unpersist()
-        return self
+        return vectors, {"scaler": scaler, "ready": ready, "classes": list(names), "features": feature_names(vectors, "_features")}, widest
 
     def uses_validation(self) -> bool:
         return False
@@ -73,19 +77,18 @@ class Classifier:
         For two classes a ``threshold`` cuts the second class's probability instead of 0.5.
         """
         f = self.fitted
-        rows = df.withColumn("_rows", F.struct(*df.columns))
-        scored = f["model"].transform(f["ready"].transform(f["scaler"].transform(rows)))
-        if "probability" in scored.columns:
-            shares = F.slice(vector_to_array("probability"), 1, len(f["classes"]))
-        else:
-            raw = F.transform(vector_to_array("rawPrediction"), lambda x: 1 / (1 + F.exp(-2 * x)))
-            shares = F.transform(raw, lambda x: x / F.aggregate(raw, F.lit(1e-300), lambda a, b: a + b))
+        scored = f["model"].transform(self.assembled(df.withColumn("_rows", F.struct(*df.columns))))
+        shares = F.slice(vector_to_array("probability"), 1, len(f["classes"]))
         out = scored.select("_rows.*", shares.alias("probability"), F.col("prediction").cast("int").alias("_p"))
         names = F.array(*[F.lit(c) for c in f["classes"]])
         if threshold is not None:
             out = out.withColumn("_p", (F.col("probability")[1] >= threshold).cast("int"))
         return out.withColumn("prediction", names[F.col("_p")]).drop("_p")
 
+    def assembled(self, df: DataFrame) -> DataFrame:
+        """``df`` with the vector ``_features``, scaled and encoded as in the fit."""
+        return self.fitted["ready"].transform(self.fitted["scaler"].transform(df))
+
     def positive_probability(self):
         return F.col("probability")[1]
 
@@ -139,7 +142,8 @@ class ForestClassifier(Classifier):
         return RandomForestClassifier(
             featuresCol="_features", labelCol="_label", numTrees=self.trees, maxDepth=min(DEEPEST, self.depth or DEEPEST),
             minInstancesPerNode=self.least_leaf, featureSubsetStrategy=self.subset, seed=self.seed, maxBins=bins,
-            **({"weightCol": self.weight} if self.weight else {}),
+            # Rows remember their node, else every level would ship whole deep trees to every task.
+            cacheNodeIds=True, maxMemoryInMB=1024, **({"weightCol": self.weight} if self.weight else {}),
         )
 
     def importances(self, spark) -> DataFrame:
@@ -152,53 +156,91 @@ class ForestClassifier(Classifier):
         )
 
 
+@dataclass
+class _Booster:
+    """The fit and transform steps of boosted trees over an assembled vector."""
+
+    classifier: "BoostedClassifier"
+    classes: int
+    model: boosting.BoostedModel | None = None
+
+    def fit(self, vectors: DataFrame) -> "_Booster":
+        rows = vectors.withColumn("_array", vector_to_array("_features"))
+        held = "_held" if "_held" in vectors.columns else None
+        c = self.classifier
+        self.model = boosting.fit_boosted(rows, [c.settings()], "_array", "_label", self.classes, c.weight, held, c.patience)[0]
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        model = self.model
+
+        @F.pandas_udf("array<double>")
+        def shares(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for part in parts:
+                yield pd.Series(list(model.probabilities(np.stack(part.to_numpy()))) if len(part) else [], dtype=object)
+
+        scored = df.withColumn("_shares", shares(vector_to_array("_features")))
+        best = F.array_position("_shares", F.array_max("_shares")) - 1
+        return scored.withColumns({"prediction": best.cast("double"), "probability": array_to_vector("_shares")}).drop("_shares")
+
+
 @dataclass
 class BoostedClassifier(Classifier):
-    """Gradient-boosted trees; more than two classes are fitted one against the rest."""
+    """Second-order boosted trees: logistic for two classes, softmax for more; ``l1`` and ``l2`` penalise leaf values."""
 
     trees: int = 100
     rate: float = 0.1
     depth: int = 6
-    least_leaf: int = 1
+    least_weight: float = 1.0
     least_gain: float = 0.0
     row_share: float = 1.0
     column_share: float = 1.0
+    l1: float = 0.0
+    l2: float = 1.0
     encoding: str = "category"
     early_stop: bool = False
-    multiclass: bool = False
+    patience: int = 10
     name: str = "boosted_trees"
 
     def uses_validation(self) -> bool:
-        return self.early_stop and not self.multiclass
+        return self.early_stop
+
+    def settings(self) -> boosting.Settings:
+        return boosting.Settings(self.trees, self.rate, self.depth, self.least_weight, self.least_gain, self.row_share, self.column_share,
+                                 self.l1, self.l2, self.seed)
 
     def estimator(self, rows, classes, bins):
-        base = GBTClassifier(
-            featuresCol="_features", labelCol="_label", maxIter=self.trees, stepSize=self.rate, maxDepth=self.depth,
-            minInstancesPerNode=self.least_leaf, minInfoGain=self.least_gain, subsamplingRate=self.row_share,
-            featureSubsetStrategy="all" if self.column_share >= 1 else str(self.column_share), seed=self.seed, maxBins=bins,
-            **({"weightCol": self.weight} if self.weight else {}),
-        )
-        if self.uses_validation():
-            base = base.setParams(validationIndicatorCol="_held")
-        if not self.multiclass:
-            return base
-        return OneVsRest(classifier=base, featuresCol="_features", labelCol="_label", parallelism=2)
+        return _Booster(self, max(2, classes))
 
-    def importances(self, spark, kind: str = "gain", folder: str | None = None) -> DataFrame:
-        """Importance by mean gain, split count (``weight``) or mean rows per split (``cover``).
+    def nodes(self, spark) -> DataFrame:
+        """All nodes of all trees; their number is bounded by rounds and depth."""
+        return spark.createDataFrame(self.fitted["model"].model.node_rows(), boosting.NODES)
 
-        The split kinds read the node table of the saved model, so ``folder`` must be given.
-        """
-        if folder is None:
-            return importance_table(spark, self.fitted["features"], self.fitted["model"].featureImportances)
-        self.fitted["model"].write().overwrite().save(folder)
-        nodes = spark.read.parquet(f"{folder}/data").select("nodeData.*").filter(F.col("leftChild") >= 0)
-        value = {"gain": F.avg("gain"), "weight": F.count("*").cast("double"), "cover": F.avg("rawCount").cast("double")}[kind]
-        per = nodes.groupBy(F.col("split.featureIndex").alias("i")).agg(value.alias("importance"))
+    def losses(self, spark) -> DataFrame:
+        """(round, train, held): mean log loss after each round, 0 for none; held is null without validation rows."""
+        rows = [(i, *x) for i, x in enumerate(self.fitted["model"].model.losses)]
+        return spark.createDataFrame(rows, "round int, train double, held double")
+
+    def importances(self, spark, kind: str = "gain") -> DataFrame:
+        """Importance by mean gain per split, number of splits (``weight``) or mean hessian per split (``cover``)."""
+        value = {"gain": F.avg("gain"), "weight": F.count("*").cast("double"), "cover": F.avg("cover")}[kind]
+        per = self.nodes(spark).filter("left IS NOT NULL").groupBy(F.col("feature").alias("i")).agg(value.alias("importance"))
         names = spark.createDataFrame(list(enumerate(self.fitted["features"])), "i int, feature string")
         return names.join(per, "i", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
+def fit_side_by_side(df: DataFrame, settings: list[dict], **fixed) -> list[BoostedClassifier]:
+    """One boosted classifier per setting, grown in the same passes over one assembled table; no early stopping."""
+    models = [BoostedClassifier(**{**fixed, **s}) for s in settings]
+    vectors, parts, _ = models[0]._assemble(df, None)
+    classes = max(2, len(parts["classes"]))
+    rows = vectors.withColumn("_array", vector_to_array("_features"))
+    for m, found in zip(models, boosting.fit_boosted(rows, [m.settings() for m in models], "_array", "_label", classes, models[0].weight)):
+        m.fitted = {**parts, "model": _Booster(m, classes, found)}
+    vectors.unpersist()
+    return models
+
+
 def importance_table(spark, names: list[str], vector) -> DataFrame:
     rows = [(n, float(v)) for n, v in zip(names, vector.toArray())]
     return spark.createDataFrame(rows, "feature string, importance double")

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+import ast
 import itertools
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from secflow.operators import anomaly, dbscan as density, evaluation
-from secflow.operators.supervised import BoostedClassifier, Classifier, ForestClassifier, LogisticClassifier
+from secflow.operators import anomaly, dbscan as density, evaluation, tree_search
+from secflow.operators.boosting import Settings
+from secflow.operators.supervised import BoostedClassifier, Classifier, ForestClassifier, LogisticClassifier, fit_side_by_side
+from secflow.session import cut_lineage
 
 # The default search spaces.
 LOGISTIC_GRID = {"C": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2"]}
-FOREST_GRID = {"trees": [100, 200, 300], "depth": [10, 20, 30, None], "least_leaf": [1, 2, 4], "subset": ["sqrt", "log2"]}
+FOREST_GRID = {"trees": [100, 200, 300], "depth": [10, 20, 30, None], "least_leaf": [1, 2, 4], "least_split": [2, 5, 10], "subset": ["sqrt", "log2"]}
 BOOSTED_GRID = {
-    "trees": [100, 200, 300], "rate": [0.01, 0.05, 0.1, 0.2], "depth": [3, 6, 9], "least_leaf": [1, 3, 5],
-    "least_gain": [0.0, 0.1, 0.2], "row_share": [0.8, 1.0], "column_share": [0.8, 1.0],
+    "trees": [100, 200, 300], "rate": [0.01, 0.05, 0.1, 0.2], "depth": [3, 6, 9], "least_weight": [1.0, 3.0, 5.0],
+    "least_gain": [0.0, 0.1, 0.2], "row_share": [0.8, 1.0], "column_share": [0.8, 1.0], "l1": [0.0, 0.1, 1.0], "l2": [1.0, 2.0, 5.0],
 }
 
 
@@ -29,9 +35,18 @@ def combinations(grid: dict[str, list]) -> list[dict]:
 
 def draw(grid: dict[str, list], n: int, seed: int = 42) -> list[dict]:
     """``n`` different settings from the grid, in a seeded order."""
-    every = combinations(grid)
-    random.Random(seed).shuffle(every)
-    return every[:n]
+    sizes = [len(v) for v in grid.values()]
+    every = 1
+    for size in sizes:
+        every *= size
+    out = []
+    for number in random.Random(seed).sample(range(every), min(n, every)):
+        values = []
+        for size, options in zip(sizes, grid.values()):
+            number, at = divmod(number, size)
+            values.append(options[at])
+        out.append(dict(zip(grid, values)))
+    return out
 
 
 def cross_validate(df: DataFrame, kind: type[Classifier], settings: list[dict], folds: int = 3, parallelism: int = 4, top: int | None = None, **fixed) -> DataFrame:
@@ -54,7 +69,20 @@ def cross_validate(df: DataFrame, kind: type[Classifier], settings: list[dict],
     return df.sparkSession.createDataFrame(rows_out[:top], "params string, mean double, std double, rank int").orderBy("rank")
 
 
-def _assembled(df: DataFrame, model: Classifier) -> tuple[DataFrame, int, int]:
+def _ranked(spark, settings: list[dict], scores: DataFrame, top: int | None) -> DataFrame:
+    """(params, mean, std, rank) from (setting, fold, auc): one row per setting leaves the cluster."""
+    found = scores.groupBy("setting").agg(F.avg("auc").alias("m"), F.stddev_samp("auc").alias("d")).collect()
+    table = sorted(((str(settings[r["setting"]]), r["m"], r["d"]) for r in found), key=lambda t: (-(t[1] or 0.0), t[0]))
+    return spark.createDataFrame([(*t, i + 1) for i, t in enumerate(table[:top])], "params string, mean double, std double, rank int").orderBy("rank")
+
+
+def _arrays(df: DataFrame, model: Classifier) -> DataFrame:
+    """(row_id, features, label): the assembled table of a model kind as arrays, labels coded from 0."""
+    ready, _, _ = _assembled(df, model, "row_id")
+    return ready.select("row_id", vector_to_array("_features").alias("features"), F.col("_label").alias("label"))
+
+
+def _assembled(df: DataFrame, model: Classifier, *keep: str) -> tuple[DataFrame, int, int]:
     from pyspark.ml.feature import StringIndexer, VectorAssembler
 
     from secflow.functions.columns import numeric_columns, text_columns
@@ -69,7 +97,7 @@ def _assembled(df: DataFrame, model: Classifier) -> tuple[DataFrame, int, int]:
     scaled = scaling.fit_scaler(df, numbers, model.scaler).transform(df)
     fitted = Pipeline(stages=steps).fit(scaled)
     widest = max([2, *(len(ls) + 1 for s in fitted.stages[1:-1] if hasattr(s, "labelsArray") for ls in s.labelsArray)])
-    ready = fitted.transform(scaled).select("_features", "_label").persist()
+    ready = fitted.transform(scaled).select("_features", "_label", *keep).persist()
     return ready, ready.count(), max(32, widest)
 
 
@@ -77,12 +105,30 @@ def tune_logistic(df: DataFrame, grid: dict | None = None, folds: int = 5, **fix
     return cross_validate(df, LogisticClassifier, combinations(grid or LOGISTIC_GRID), folds, **fixed)
 
 
-def tune_forest(df: DataFrame, grid: dict | None = None, folds: int = 3, **fixed) -> DataFrame:
-    return cross_validate(df, ForestClassifier, combinations(grid or FOREST_GRID), folds, **fixed)
+def tune_forest(df: DataFrame, grid: dict | None = None, folds: int = 3, top: int | None = None, most_rows: int = tree_search.MOST_ROWS, **fixed) -> DataFrame:
+    """All settings of the grid on at most ``most_rows`` labelled rows; a fit answers for its smaller settings."""
+    settings = combinations(grid or FOREST_GRID)
+    full = [{"trees": 100, "depth": None, "least_split": 2, "least_leaf": 1, "subset": "sqrt", **s} for s in settings]
+    return _ranked(df.sparkSession, settings, tree_search.search_forest(_arrays(df, ForestClassifier(**fixed)), full, folds, most_rows), top)
+
 
+def tune_boosted(df: DataFrame, grid: dict | None = None, n: int = 50, folds: int = 3, top: int | None = None, most_rows: int = tree_search.MOST_ROWS,
+                 **fixed) -> DataFrame:
+    """``n`` drawn settings on at most ``most_rows`` labelled rows; settings that differ in rounds alone share their fits."""
+    settings = draw(grid or BOOSTED_GRID, n)
+    return _ranked(df.sparkSession, settings, tree_search.search_boosted(_arrays(df, BoostedClassifier(**fixed)), [Settings(**s) for s in settings], folds, most_rows), top)
 
-def tune_boosted(df: DataFrame, grid: dict | None = None, n: int = 50, folds: int = 3, **fixed) -> DataFrame:
-    return cross_validate(df, BoostedClassifier, draw(grid or BOOSTED_GRID, n), folds, **fixed)
+
+def best_model(table: DataFrame, kind: type[Classifier], train: DataFrame, validation: DataFrame | None = None, label: str = "label", **fixed
+               ) -> tuple[Classifier, dict, float, float | None]:
+    """The first setting of a search fitted on all of ``train``: (model, setting, searched area, area on ``validation``)."""
+    first = table.filter("rank = 1").head()
+    setting = ast.literal_eval(first["params"])
+    model = kind(**fixed, **{k: v for k, v in setting.items() if k in kind.__dataclass_fields__}).fit(train)
+    if validation is None:
+        return model, setting, first["mean"], None
+    scored = model.predict(validation).withColumn("_p1", model.positive_probability())
+    return model, setting, first["mean"], evaluation.roc_auc(scored, "_p1", label).head()["auc"]
 
 
 def one_factor_sweep(train: DataFrame, test: DataFrame, kind: type[Classifier], name: str, values: list, **fixed) -> DataFrame:
@@ -100,6 +146,29 @@ def one_factor_sweep(train: DataFrame, test: DataFrame, kind: type[Classifier],
     return out
 
 
+def boosted_sweep(train: DataFrame, test: DataFrame, settings: list[dict], **fixed) -> DataFrame:
+    """(setting, accuracy, precision, recall, f1, auc, train_loss) of boosted models that differ in ``settings``, grown side by side.
+
+    The test rows are scored by all models in one pass, and their probabilities unfolded for the metrics.
+    """
+    models = fit_side_by_side(train, settings, **fixed)
+    scored = models[0].assembled(test).select(F.col("label").cast("int").alias("label"), vector_to_array("_features").alias("x"))
+    parts = [m.fitted["model"].model for m in models]
+
+    @F.pandas_udf("array<double>")
+    def positive(rows: pd.Series) -> pd.Series:
+        values = np.stack(rows.to_numpy())
+        return pd.Series(list(np.stack([m.probabilities(values)[:, 1] for m in parts], 1)))
+
+    names = F.array(*[F.lit(str(s)) for s in settings])
+    long = scored.select("label", F.posexplode(positive("x")).alias("i", "p")).select(F.get(names, F.col("i")).alias("setting"), "label", "p")
+    long = cut_lineage(long.withColumn("flag", (F.col("p") >= 0.5).cast("int")))
+    basic = evaluation.anomaly_metrics(long, "label", "flag", ["setting"]).select("setting", "accuracy", "precision", "recall", "f1")
+    areas = evaluation.roc_auc(long, "p", "label", ["setting"]).select("setting", "auc")
+    final = train.sparkSession.createDataFrame([(str(s), m.losses[-1][0]) for s, m in zip(settings, parts)], "setting string, train_loss double")
+    return basic.join(areas, "setting").join(final, "setting")
+
+
 def elbow(df: DataFrame, ks: list[int], features: str = "features", seed: int = 42) -> DataFrame:
     """(k, inertia, silhouette) of K-means per k; the silhouette is the linear one."""
     ready = anomaly.as_vector(df, features).persist()

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
+import numpy as np
 from pyspark.sql import functions as F
 
 from secflow.functions.columns import round_doubles
-from secflow.operators import cleaning, evaluation, splitting, two_stage
+from secflow.operators import boosting, cleaning, evaluation, splitting, two_stage
 from secflow.operators import supervised as su
 from secflow.operators import tuning as tu
 from secflow.plans.registry import query
-from secflow.session import checkpoint_folder
+from secflow.session import cut_lineage
 from secflow.sources.views import CLASSES_SQL, FLOW_SQL, SCORES_SQL, class_view, flow_view, score_view, vector_view
 
 WF = f"WITH {FLOW_SQL} "
@@ -59,17 +58,16 @@ def forest_depths(spark, sf_dir):
 
 @query("M5 M6 M7")
 def boosted_importances(spark, sf_dir):
-    """Mean gain per split, from the node table of the saved model; validation rows stop the boosting."""
+    """Mean gain per split; validation rows stop the boosting."""
     train, test = _halves(spark, sf_dir)
-    model = su.BoostedClassifier(**COLS, trees=10, depth=4, early_stop=True).fit(train, test)
-    return model.importances(spark, "gain", f"{checkpoint_folder(spark)}/boosted-{uuid.uuid4().hex}")
+    return su.BoostedClassifier(**COLS, early_stop=True).fit(train, test).importances(spark, "gain")
 
 
 @query("M5")
 def boosted_attack_types(spark, sf_dir):
-    """More than two classes, one against the rest."""
+    """More than two classes by softmax, one tree per class and round."""
     train, test = _halves(spark, sf_dir)
-    model = su.BoostedClassifier(**COLS, label="attack_cat", trees=3, depth=3, multiclass=True).fit(train)
+    model = su.BoostedClassifier(**COLS, label="attack_cat", trees=10).fit(train)
     return evaluation.class_report(model.predict(test), "attack_cat", "prediction")
 
 
@@ -177,10 +175,66 @@ def boosted_search(spark, sf_dir):
     return tu.tune_boosted(_flow(spark, sf_dir), **COLS)
 
 
-@query("G10 G12")
+def _swept(spark, sf_dir, settings):
+    train, test = _halves(spark, sf_dir)
+    return tu.boosted_sweep(train, test, settings, **COLS)
+
+
+@query("G10")
 def boosted_depth_sweep(spark, sf_dir):
+    """100 rounds at each depth, all models in the same passes."""
+    return _swept(spark, sf_dir, [{"depth": d} for d in (3, 6, 9, 12)])
+
+
+@query("G10")
+def boosted_rate_sweep(spark, sf_dir):
+    return _swept(spark, sf_dir, [{"rate": r} for r in (0.01, 0.05, 0.1, 0.2)])
+
+
+@query("G10 M5")
+def boosted_penalty_sweep(spark, sf_dir):
+    """Leaf penalties: none, the usual one, and stronger ones of either kind."""
+    return _swept(spark, sf_dir, [{"l1": 0.0, "l2": 0.0}, {"l1": 0.0, "l2": 1.0}, {"l1": 0.1, "l2": 1.0}, {"l1": 1.0, "l2": 1.0}, {"l1": 0.0, "l2": 5.0}])
+
+
+_STUMP_CUTS = {"spkts": range(5, 50, 5), "sttl": range(16, 256, 16), "dpkts": range(1, 7)}
+_STUMP_PENALTIES = [(0.0, 1.0), (50.0, 1.0), (0.0, 500.0), (50.0, 500.0)]
+
+
+@query("M5 M6", WF + """, r AS (SELECT spkts, sttl, dpkts, CASE WHEN sbytes * dpkts > dbytes AND state <> 'P' THEN 1 ELSE 0 END AS y FROM flows),
+x AS (SELECT 'spkts' AS feature, 0 AS f, spkts AS v, y FROM r UNION ALL SELECT 'sttl', 1, sttl, y FROM r UNION ALL SELECT 'dpkts', 2, dpkts, y FROM r),
+c AS (SELECT 'spkts' AS feature, unnest(range(5, 50, 5)) AS cut UNION ALL SELECT 'sttl', unnest(range(16, 256, 16)) UNION ALL SELECT 'dpkts', unnest(range(1, 7))),
+h AS (SELECT feature, f, cut, coalesce(sum(0.5 - y) FILTER (v <= cut), 0)::DOUBLE AS gl, 0.25::DOUBLE * count(*) FILTER (v <= cut) AS hl,
+sum(0.5 - y)::DOUBLE AS g, 0.25::DOUBLE * count(*) AS h FROM x JOIN c USING (feature) GROUP BY ALL),
+s (l1, l2) AS (VALUES (0::DOUBLE, 1::DOUBLE), (50, 1), (0, 500), (50, 500)),
+t AS (SELECT *, greatest(abs(gl) - l1, 0) * sign(gl) AS tl, greatest(abs(g - gl) - l1, 0) * sign(g - gl) AS tr, greatest(abs(g) - l1, 0) * sign(g) AS ta FROM h, s),
+p AS (SELECT *, (tl * tl / (hl + l2) + tr * tr / (h - hl + l2) - ta * ta / (h + l2)) / 2 AS gain, -0.1 * tl / (hl + l2) AS vl, -0.1 * tr / (h - hl + l2) AS vr FROM t WHERE hl >= 1 AND h - hl >= 1),
+b AS (SELECT *, row_number() OVER (PARTITION BY l1, l2 ORDER BY gain DESC, f, cut) AS n FROM p)
+SELECT l1, l2, feature, cut::DOUBLE AS threshold, round(gain, 4) AS gain, round(vl, 8) AS left_value, round(vr, 8) AS right_value,
+round((4 * hl * ln(1 + exp(vl)) - (2 * hl - gl) * vl + 4 * (h - hl) * ln(1 + exp(vr)) - (2 * (h - hl) - (g - gl)) * vr) / (4 * h), 8) AS train_loss FROM b WHERE n = 1""")
+def boosted_stump_penalties(spark, sf_dir):
+    """First split, its gain, leaf values and training loss of one-split models, grown side by side under four penalties."""
+    names = list(_STUMP_CUTS)
+    busy = (F.col("sbytes") * F.col("dpkts") > F.col("dbytes")) & (F.col("state") != "P")
+    rows = flow_view(spark, sf_dir).select(F.array(*names).alias("features"), busy.cast("int").alias("label"))
+    settings = [boosting.Settings(trees=1, depth=1, l1=a, l2=b) for a, b in _STUMP_PENALTIES]
+    found = boosting.fit_boosted(rows, settings, cuts=[np.array(c, float) for c in _STUMP_CUTS.values()])
+    out = []
+    for (l1, l2), m in zip(_STUMP_PENALTIES, found):
+        (root, left, right), loss = m.node_rows()[:3], m.losses[-1][0]
+        out.append((l1, l2, names[root[3]], root[4], root[5], left[7], right[7], loss))
+    table = spark.createDataFrame(out, "l1 double, l2 double, feature string, threshold double, gain double, left_value double, right_value double, train_loss double")
+    return table.select("l1", "l2", "feature", "threshold", F.round("gain", 4).alias("gain"),
+                        *[F.round(c, 8).alias(c) for c in ("left_value", "right_value", "train_loss")])
+
+
+@query("G3")
+def forest_search_best(spark, sf_dir):
+    """The best searched setting, fitted on all training rows, with its area on rows the search has not seen."""
     train, test = _halves(spark, sf_dir)
-    return tu.one_factor_sweep(train, test, su.BoostedClassifier, "depth", [2, 4], **COLS, trees=4)
+    table = cut_lineage(tu.tune_forest(train, **COLS))
+    _, setting, searched, seen = tu.best_model(table, su.ForestClassifier, train, test, **COLS)
+    return spark.createDataFrame([(str(setting), searched, seen)], "params string, search_auc double, validation_auc double")
 
 
 @query("G11 Z6")

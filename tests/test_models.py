@@ -38,12 +38,12 @@ def test_classifier_beats_chance(spark, planted, model):
     assert model.predict(unseen).count() == 5
 
 
-def test_boosting_importances_and_multiclass(spark, planted, tmp_path):
+def test_boosting_importances_and_multiclass(spark, planted):
     model = supervised.BoostedClassifier(**COLS, trees=5, depth=3, early_stop=True).fit(planted, planted)
     for kind in ("gain", "weight", "cover"):
-        rows = model.importances(spark, kind, str(tmp_path / kind)).collect()
+        rows = model.importances(spark, kind).collect()
         assert len(rows) == 4 and max(rows, key=lambda r: r["importance"])["importance"] > 0
-    many = supervised.BoostedClassifier(**COLS, label="attack_cat", trees=3, depth=3, multiclass=True).fit(planted)
+    many = supervised.BoostedClassifier(**COLS, label="attack_cat", trees=3, depth=3).fit(planted)
     scored = many.predict(planted)
     assert scored.filter(F.abs(F.aggregate("probability", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-6).count() == 0
     assert scored.filter("prediction = attack_cat").count() > 200
@@ -65,7 +65,7 @@ def test_searches(planted):
     one = tuning.tune_logistic(planted, {"C": [0.001, 1.0], "penalty": ["l2"]}, 2, **COLS, most_rounds=10, top=1).collect()
     assert one == found[:1]
     assert len(tuning.draw(tuning.BOOSTED_GRID, 50)) == 50
-    assert len(tuning.combinations(tuning.FOREST_GRID)) == 72
+    assert len(tuning.combinations(tuning.FOREST_GRID)) == 216
 
 
 def test_selectors_find_the_signal(planted):
@@ -129,11 +129,15 @@ def test_searches_see_whole_grids_and_all_columns(spark, monkeypatch):
         return df
 
     monkeypatch.setattr(tuning, "cross_validate", searched)
+    monkeypatch.setattr(tuning, "_arrays", lambda df, model: seen.update(columns={(*model.numeric, *model.text)}) or df)
+    monkeypatch.setattr(tuning, "_ranked", lambda spark, settings, scores, top: scores)
+    for name in ("forest", "boosted"):
+        monkeypatch.setattr(tuning.tree_search, f"search_{name}", lambda df, settings, folds, most, name=name: seen.update({name: (len(settings), folds, most)}) or df)
     monkeypatch.setattr(tuning, "tune_mixture", lambda df, counts, kinds: seen.update(mixture=(counts, len(kinds))) or df)
     monkeypatch.setattr(selection, "stepwise", lambda df, columns, label, n, forward, *rest: seen.update({forward: (columns, rest)}) or columns[:n])
     monkeypatch.setattr(tuning, "tune_dbscan", lambda df, radii, least, label: seen.update(density=(len(radii), len(least))) or df)
     for name in ("density_search", "logistic_search", "forest_search", "boosted_search", "mixture_search", "selection_forward", "selection_backward"):
         load_all()[name].plan(spark, "/root/testdata/sf0.001")
     columns = {"numeric", "text"}
-    assert seen == {"LogisticClassifier": (12, 5, columns), "ForestClassifier": (72, 3, columns), "BoostedClassifier": (50, 3, columns),
-                    "mixture": (list(range(2, 11)), 4), "density": (5, 5), True: (BASE, ()), False: (BASE, ())}
+    assert seen == {"LogisticClassifier": (12, 5, columns), "forest": (216, 3, 40_000), "boosted": (50, 3, 40_000),
+                    "columns": {("sbytes", "dbytes", "spkts", "dload", "sttl", "service", "state")}, "mixture": (list(range(2, 11)), 4), "density": (5, 5), True: (BASE, ()), False: (BASE, ())}

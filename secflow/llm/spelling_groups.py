@@ -74,6 +74,11 @@ def _codes(place: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mix(place.astype(U64) * U64(0x9E3779B97F4A7C15) + symbol.astype(U64) * U64(0xC2B2AE3D27D4EB4F) + U64(77))
 
 
+def _short(keys: np.ndarray) -> np.ndarray:
+    """32 bits of each key: words that share them by chance cost a comparison, no more."""
+    return (keys >> U64(32)).astype(np.uint32).view(np.int32)
+
+
 def reduced(words: list[str], symbols: int) -> np.ndarray:
     """Symbols of equally long words, one row each."""
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
@@ -117,7 +122,8 @@ def neighbour_keys(word: np.ndarray, symbols: int) -> Iterator[tuple[np.ndarray,
 def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """(word, n, other, other_n): every ordered pair of words of a vocabulary (word, n, word_id) that one edit parts.
 
-    Neighbourhoods carry numbers, so that a very long word is not repeated for each of its neighbours.
+    Neighbourhoods carry numbers, so that a very long word is not repeated for each of its neighbours. Each holds all
+    reduced words at one edit, but only those of no larger key are looked up: every pair meets from one of its sides.
     """
 
     def groups(batch: pa.RecordBatch) -> Iterator[tuple[list[str], pa.Array]]:
@@ -135,24 +141,32 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, ids in groups(batch):
-                yield pa.RecordBatch.from_pydict({"key": own_keys(reduced(part, symbols)).view(np.int64), "other_id": ids})
+                yield pa.RecordBatch.from_pydict({"key": _short(own_keys(reduced(part, symbols))), "other_id": ids})
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, ids in groups(batch):
-                row, key = (np.concatenate(x) for x in zip(*neighbour_keys(reduced(part, symbols), symbols)))
+                symbols_of = reduced(part, symbols)
+                own = _short(own_keys(symbols_of))
+                row, key = (np.concatenate(x) for x in zip(*neighbour_keys(symbols_of, symbols)))
+                key = _short(key)
+                asking = key <= own[row]
+                row, key = row[asking], key[asking]
                 order = np.lexsort((key, row))
                 row, key = row[order], key[order]
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
-                yield pa.RecordBatch.from_pydict({"key": key[new].view(np.int64), "word_id": ids.take(pa.array(row[new]))})
+                row, key = row[new], key[new]
+                yield pa.RecordBatch.from_pydict({"key": key, "same": key == own[row], "word_id": ids.take(pa.array(row))})
 
-    asked = words.select("word", "word_id").mapInArrow(spread, "key long, word_id long")
-    held = words.select("word", "word_id").mapInArrow(keyed, "key long, other_id long")
-    pairs = asked.join(held, "key").where("word_id <> other_id").select("word_id", "other_id")
+    asked = words.select("word", "word_id").mapInArrow(spread, "key int, same boolean, word_id long")
+    held = words.select("word", "word_id").mapInArrow(keyed, "key int, other_id long")
+    # The word of larger key asks; words of one key ask each other, and the one of smaller number is heard.
+    met = asked.join(held, "key").where("NOT same OR word_id < other_id").select("word_id", "other_id")
     other = words.select(F.col("word_id").alias("other_id"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    named = pairs.join(words, "word_id").join(other, "other_id")
-    return named.where(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
+    pairs = met.join(words, "word_id").join(other, "other_id").where(F.levenshtein("word", "other", 1) == 1)
+    both = F.array(F.struct("word", "n", "other", "other_n"), F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))
+    return pairs.select(F.explode(both).alias("pair")).select("pair.*")
 
 
 def roots(forms: DataFrame) -> DataFrame:

@@ -103,7 +103,9 @@ def match_segment(terms: np.ndarray, counts: np.ndarray, positions: np.ndarray,
                   rarest: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(window, first position, last position) of every match in one segment, never across documents.
 
-    ``rarest`` lists the offsets of each window from its rarest word on.
+    ``rarest`` lists the offsets of each window from its rarest word on. Without ``slop`` the words follow each other.
+    With it, every word lies at most ``slop`` places from its own behind some common start, whichever word is the
+    rarest; a match then runs from the first to the last such occurrence. One occurrence may stand for equal words.
     """
     offsets = np.concatenate([[0], np.cumsum(counts)])
     slot = np.searchsorted(terms, windows.terms)
@@ -114,17 +116,19 @@ def match_segment(terms: np.ndarray, counts: np.ndarray, positions: np.ndarray,
     place, number = _ranges(offsets[lead], offsets[lead + 1] - offsets[lead])
     window = whole[number]
     anchor = positions[place].astype(np.int64)
+    keys = (np.repeat(np.arange(len(terms)), counts) << 32) | positions.astype(np.int64)
+    if slop:
+        return _near_matches(keys, first, slot, windows.lengths, window, anchor, rarest, slop)
     start = anchor - rarest[window, 0]
     low, high = anchor.copy(), anchor.copy()
-    keys = (np.repeat(np.arange(len(terms)), counts) << 32) | positions.astype(np.int64)
     for r in range(1, windows.terms.shape[1]):
         more = windows.lengths[window] > r
         at = rarest[window, np.minimum(r, windows.lengths[window] - 1)]
-        wanted = np.maximum(start + at - slop, 0)
+        wanted = np.maximum(start + at, 0)
         base = slot[window, at] << 32
         found = np.searchsorted(keys, base | wanted)
         hit = keys[np.minimum(found, len(keys) - 1)] - base if len(keys) else np.zeros(len(at), np.int64)
-        good = ~more | ((hit >= wanted) & (hit <= start + at + slop))
+        good = ~more | (hit == start + at)
         hit = np.where(more, hit, anchor)
         window, start, anchor = window[good], start[good], anchor[good]
         low, high = np.minimum(low, hit)[good], np.maximum(high, hit)[good]
@@ -132,6 +136,28 @@ def match_segment(terms: np.ndarray, counts: np.ndarray, positions: np.ndarray,
     return window[same], low[same], high[same]
 
 
+def _near_matches(keys: np.ndarray, first: np.ndarray, slot: np.ndarray, lengths: np.ndarray, window: np.ndarray, anchor: np.ndarray,
+                  rarest: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matches with moved words: starts around each occurrence of the rarest word, kept while every word is near its place."""
+    document = np.searchsorted(first, anchor, side="right") - 1
+    starts = (anchor - rarest[window, 0])[:, None] + np.arange(-slop, slop + 1)
+    tried = np.stack([np.repeat(window, 2 * slop + 1), np.repeat(document, 2 * slop + 1), starts.ravel()], 1)
+    window, document, start = (np.unique(tried, axis=0) if len(tried) else tried).T
+    low, high = np.full(len(start), np.iinfo(np.int64).max), np.full(len(start), -1)
+    for r in range(slot.shape[1]):
+        more = lengths[window] > r
+        at = rarest[window, np.minimum(r, lengths[window] - 1)]
+        base = slot[window, at] << 32
+        left = np.searchsorted(keys, base | np.maximum(start + at - slop, first[document]))
+        right = np.searchsorted(keys, base | np.maximum(np.minimum(start + at + slop, first[document + 1] - 1), 0), side="right")
+        good = right > left
+        low = np.where(more & good, np.minimum(low, keys[np.minimum(left, len(keys) - 1)] - base), low)
+        high = np.where(more & good, np.maximum(high, keys[np.maximum(right - 1, 0)] - base), high)
+        good |= ~more
+        window, document, start, low, high = window[good], document[good], start[good], low[good], high[good]
+    return window, low, high
+
+
 def _search(index: DataFrame, windows: Windows, slop: int) -> DataFrame:
     counts = term_counts(index)
     rarity = np.vectorize(lambda t: counts.get(t, 0), otypes=[np.int64])(windows.terms) if windows.items else np.zeros(windows.terms.shape, np.int64)
@@ -173,6 +199,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     document ids stay null, repeated rows give repeated equal rows, other columns are ignored whatever
     their names, and empty tables on either side give no hits.
 
+    With ``slop`` a window also matches where each of its words lies at most that many places from its own behind
+    some start, inside one document; all words from the first to the last such occurrence are hit.
+
     Items are held in memory in blocks of about ``block_bytes`` of text, the index of a block is built
     for its words only, and results of several blocks are merged by document.
     """

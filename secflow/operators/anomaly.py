@@ -11,6 +11,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +29,9 @@ def as_vector(df: DataFrame, features: str = "features", output: str = "_vector"
 
 def group_centres(df: DataFrame, group: str, features: str = "features") -> tuple[list, np.ndarray]:
     """Mean vector of each group; groups x dimensions numbers reach the driver."""
-    long = df.select(group, F.posexplode(array_features(df, features)).alias("i", "x"))
-    means = long.groupBy(group, "i").agg(F.avg("x").alias("m"))
-    rows = means.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("v")).orderBy(group).collect()
-    return [r[0] for r in rows], np.array([[p["m"] for p in r["v"]] for r in rows])
+    vectors = df.select(group, array_to_vector(array_features(df, features)).alias("v"))
+    rows = vectors.groupBy(group).agg(Summarizer.mean(F.col("v")).alias("m")).orderBy(group).collect()
+    return [r[0] for r in rows], np.array([r["m"].toArray() for r in rows])
 
 
 def centre_scores(df: DataFrame, centres: np.ndarray, metric: str = "euclidean", features: str = "features") -> DataFrame:
@@ -334,10 +334,13 @@ def silhouette(
 ) -> DataFrame:
     """(key, cluster, silhouette) for every row, exact.
 
-    Equal vectors of a cluster are merged with their number. Blocks are compared chunk by chunk
-    and emit one distance sum per row and cluster, not the pairs. The work still grows with the
-    square of the distinct rows; ``linear_silhouette`` serves larger tables.
+    Cosine and squared Euclidean distances to a whole cluster follow from its sums, in time linear in the
+    rows. For other metrics equal vectors of a cluster are merged with their number, and blocks are compared
+    chunk by chunk and emit one distance sum per row and cluster, not the pairs; that work grows with the
+    square of the distinct rows.
     """
+    if metric in SUMMED_METRICS:
+        return _summed_silhouette(df, cluster, metric, key, features)
     rows = _vectors(df, key, features).join(df.select(F.col(key).cast("long").alias("id"), F.col(cluster).cast("long").alias("c")), "id")
     merged = rows.groupBy("features", "c").agg(F.min("id").alias("id"), F.count("*").alias("weight")).select("id", "features", "c", "weight")
     chunks = max(1, -(-merged.count() // block_rows))
@@ -386,6 +389,46 @@ def silhouette(
     )
 
 
+#: Metrics whose distance from a row to all rows of a cluster is a function of the cluster's sums.
+SUMMED_METRICS = ("cosine", "sqeuclidean")
+
+
+def _summed_silhouette(df: DataFrame, cluster: str, metric: str, key: str, features: str) -> DataFrame:
+    """Row silhouettes from one aggregate per cluster: rows, vector sum, and sum of squares.
+
+    Cosine works on unit vectors, a zero vector having distance 1 to all rows. One row per cluster reaches the driver.
+    """
+    rows = df.select(F.col(key).cast("long").alias(key), F.col(cluster).cast("long").alias(cluster), array_features(df, features).alias("_x"))
+    if metric == "cosine":
+        length = F.sqrt(F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v))
+        rows = rows.withColumn("_n", length).withColumn("_x", F.when(F.col("_n") > 0, F.transform("_x", lambda v: v / F.col("_n"))).otherwise(F.col("_x"))).drop("_n")
+    square = F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v)
+    found = rows.groupBy(cluster).agg(F.count("*").alias("n"), Summarizer.sum(array_to_vector(F.col("_x"))).alias("s"), F.sum(square).alias("q")).collect()
+    names = [r[cluster] for r in found]
+    size, total, squares = np.array([r["n"] for r in found], float), np.array([r["s"].toArray() for r in found]), np.array([r["q"] for r in found])
+    place = {c: i for i, c in enumerate(names)}
+
+    @F.pandas_udf("double")
+    def value(vectors: pd.Series, owners: pd.Series) -> pd.Series:
+        x, own = as_matrix(vectors), np.array([place[c] for c in owners])
+        if not len(x):
+            return pd.Series([], dtype=float)
+        if metric == "cosine":
+            far = size - x @ total.T
+        else:
+            far = size * (x * x).sum(1)[:, None] + squares - 2 * x @ total.T
+        far, at = np.maximum(far, 0), np.arange(len(x))
+        inner = np.where(size[own] > 1, far[at, own] / np.maximum(size[own] - 1, 1), 0.0)
+        others = far / size
+        others[at, own] = np.inf
+        outer = others.min(1)
+        top = np.maximum(inner, outer)
+        score = np.divide(outer - inner, top, out=np.zeros(len(x)), where=np.isfinite(outer) & (top > 0))
+        return pd.Series(np.where(size[own] > 1, score, 0.0))
+
+    return rows.select(key, cluster, value("_x", cluster).alias("silhouette"))
+
+
 def silhouette_by_cluster(samples: DataFrame, cluster: str) -> DataFrame:
     return samples.groupBy(cluster).agg(
         F.count("*").alias("size"), F.avg("silhouette").alias("mean"), F.min("silhouette").alias("min"), F.max("silhouette").alias("max")

@@ -5,12 +5,11 @@ from __future__ import annotations
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,19 +126,89 @@ def by_model(df: DataFrame, columns: list[str], label: str, threshold: str | flo
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
-def by_lasso(df: DataFrame, columns: list[str], label: str, folds: int = 5, steps: int = 10) -> DataFrame:
-    """(feature, coefficient) left non-zero by the cross-validated L1 penalty."""
-    trials = Trials(df, columns, label)
-    line = LinearRegression(featuresCol="_x", labelCol="_label", elasticNetParam=1.0, standardization=False)
-    table = trials.slice(columns)
-    peak = df.agg(*[F.abs(F.covar_pop(c, F.col(label).cast("double")) / F.stddev_pop(c)).alias(c) for c in columns]).head()
-    top = max([v for v in peak if v is not None and v == v] or [1.0])
-    grid = ParamGridBuilder().addGrid(line.regParam, [float(top * 10 ** (-3 * i / (steps - 1))) for i in range(steps)]).build()
-    judge = RegressionEvaluator(labelCol="_label", metricName="mse")
-    cv = CrossValidator(estimator=line, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=42, parallelism=4).fit(table)
-    rows = [(c, float(v)) for c, v in zip(columns, cv.bestModel.coefficients.toArray()) if v != 0]
-    trials.close()
-    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
+def fold_moments(df: DataFrame, columns: list[str], label: str, folds: int, key: str | None = None) -> dict[int, np.ndarray]:
+    """Per fold the matrix of sums of products of (1, columns, label): all that linear models of any penalty need.
+
+    Each batch of rows is reduced to one matrix per fold before the shuffle; ``folds`` matrices reach the driver.
+    Rows with nulls are left out. Folds are dealt by a hash of the key, or of the row.
+    """
+    width = len(columns) + 2
+    values = df.select(F.pmod(F.xxhash64(*([key] if key else [*columns, label])), F.lit(folds)).cast("int").alias("fold"),
+                       F.array(F.lit(1.0), *[F.col(c).cast("double") for c in columns], F.col(label).cast("double")).alias("x"))
+    whole = values.filter(~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
+
+    def partial(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            fold = batch["fold"].to_numpy()
+            x = batch["x"].flatten().to_numpy().reshape(-1, width)
+            for f in np.unique(fold):
+                total[int(f)] = total.get(int(f), 0) + x[fold == f].T @ x[fold == f]
+        yield pa.RecordBatch.from_pydict({"fold": pa.array(list(total), pa.int32()), "sums": pa.array([m.ravel() for m in total.values()], pa.list_(pa.float64()))})
+
+    parts = whole.mapInArrow(partial, "fold int, sums array<double>").select("fold", F.posexplode("sums"))
+    rows = parts.groupBy("fold", "pos").agg(F.sum("col").alias("v")).collect()
+    out = {f: np.zeros(width * width) for f in range(folds)}
+    for r in rows:
+        out[r["fold"]][r["pos"]] = r["v"]
+    return {f: m.reshape(width, width) for f, m in out.items()}
+
+
+def standardised(moments: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
+    """(correlations of the columns, their covariance with the label, means with the label's last, deviations, label variance)."""
+    n = moments[0, 0]
+    mean = moments[0, 1:] / n
+    covariance = moments[1:, 1:] / n - np.outer(mean, mean)
+    spread = np.sqrt(np.maximum(np.diag(covariance)[:-1], 0))
+    spread = np.where(spread > 1e-12 * np.maximum(1, np.abs(mean[:-1])), spread, 0.0)
+    scale = np.divide(1.0, spread, out=np.zeros_like(spread), where=spread > 0)
+    return covariance[:-1, :-1] * np.outer(scale, scale), covariance[:-1, -1] * scale, mean, spread, float(covariance[-1, -1])
+
+
+def lasso_path(gram: np.ndarray, pull: np.ndarray, alphas: np.ndarray, tolerance: float = 1e-9, most: int = 10_000) -> np.ndarray:
+    """Coefficients (alpha, column) by coordinate descent on correlations, each penalty started from the one before."""
+    out, b = np.zeros((len(alphas), len(pull))), np.zeros(len(pull))
+    used = np.flatnonzero(np.diag(gram) > 0)
+    for i, alpha in enumerate(alphas):
+        for _ in range(most):
+            moved = 0.0
+            for j in used:
+                rest = pull[j] - gram[j] @ b + gram[j, j] * b[j]
+                new = np.sign(rest) * max(abs(rest) - alpha, 0) / gram[j, j]
+                moved, b[j] = max(moved, abs(new - b[j])), new
+            if moved < tolerance:
+                break
+        out[i] = b
+    return out
+
+
+def by_lasso(df: DataFrame, columns: list[str], label: str, folds: int = 5, steps: int = 100, least_share: float = 1e-3) -> DataFrame:
+    """(feature, coefficient, alpha) left non-zero by the L1 penalty of least cross-validated error.
+
+    One pass gathers moments per fold; ``steps`` penalties from the one that empties the model down to
+    ``least_share`` of it are then fitted on matrices of the columns' size. Coefficients are of standardised columns.
+    """
+    by_fold = fold_moments(df, columns, label, folds)
+    whole = sum(by_fold.values())
+    if whole[0, 0] == 0:
+        return df.sparkSession.createDataFrame([], "feature string, coefficient double, alpha double")
+    gram, pull, _, _, _ = standardised(whole)
+    top = float(np.abs(pull).max())
+    alphas = top * least_share ** (np.arange(steps) / max(1, steps - 1)) if top > 0 else np.zeros(1)
+    error = np.zeros(len(alphas))
+    for held in by_fold.values():
+        train = whole - held
+        if held[0, 0] == 0 or train[0, 0] == 0:
+            continue
+        g, p, mean, spread, _ = standardised(train)
+        slope = np.divide(lasso_path(g, p, alphas), spread, out=np.zeros((len(alphas), len(p))), where=spread > 0)
+        # (intercept, slopes, -1) turns the held rows' products into their squared error.
+        line = np.hstack([(mean[-1] - slope @ mean[:-1])[:, None], slope, -np.ones((len(alphas), 1))])
+        error += np.einsum("ij,jk,ik->i", line, held, line) / held[0, 0]
+    best = int(error.argmin())
+    found = lasso_path(gram, pull, alphas[:best + 1])[-1]
+    rows = [(c, float(v), float(alphas[best])) for c, v in zip(columns, found) if v != 0]
+    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double, alpha double")
 
 
 def stepwise(

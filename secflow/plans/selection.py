@@ -117,7 +117,7 @@ def selection_by_model(spark, sf_dir):
 @query("X6")
 def selection_by_lasso(spark, sf_dir):
     df = _flow(spark, sf_dir).withColumn("label", (F.col("sbytes") > 30000).cast("int"))
-    return sel.by_lasso(df, BASE, "label", 3, 5)
+    return sel.by_lasso(df, BASE, "label")
 
 
 def _named(spark, method, chosen):

@@ -81,6 +81,7 @@ class KMeansDetector:
     centres: np.ndarray | None = None
     threshold: float | None = None
     inertia: float | None = None
+    row_wise = True
 
     def fit(self, df: DataFrame) -> "KMeansDetector":
         model = KMeans(k=self.k, seed=self.seed, featuresCol="_vector", initSteps=5).fit(as_vector(df, self.features))
@@ -269,6 +270,7 @@ class MixtureDetector:
     seed: int = 42
     mixture: Mixture | None = None
     threshold: float | None = None
+    row_wise = True
 
     def fit(self, df: DataFrame) -> "MixtureDetector":
         self.mixture = fit_mixture(df, self.k, self.kind, self.features, self.seed)
@@ -303,10 +305,24 @@ def fit_detectors(df: DataFrame, features: str = "features", normal_only: str |
 
 
 def score_all(detectors: dict, df: DataFrame, thresholds: dict[str, float] | None = None, key: str = "row_id") -> DataFrame:
-    """Append ``<name>_score`` and ``<name>_flag`` of every detector, joined on the row key."""
-    out = df
+    """Append ``<name>_score`` and ``<name>_flag`` of every detector.
+
+    Detectors that score a row from itself are chained over one scan; only those that look rows up, such as
+    density clusters, come in by a join on the row key.
+    """
+    whole = F.struct(*df.columns).alias("_whole")
+    out = df.select("*", whole)
+    kept, looked_up = ["_whole.*"], []
     for name, detector in detectors.items():
-        flagged = detector.predict(df, (thresholds or {}).get(name))
+        if not getattr(detector, "row_wise", False):
+            looked_up.append(name)
+            continue
+        scored = detector.predict(out, (thresholds or {}).get(name))
+        out = scored.select(*df.columns, "_whole", *kept[1:], F.col("score").alias(f"{name}_score"), F.col("flag").alias(f"{name}_flag"))
+        kept += [f"{name}_score", f"{name}_flag"]
+    out = out.select(*kept)
+    for name in looked_up:
+        flagged = detectors[name].predict(df, (thresholds or {}).get(name))
         out = out.join(flagged.select(key, F.col("score").alias(f"{name}_score"), F.col("flag").alias(f"{name}_flag")), key)
     return out
 

@@ -265,12 +265,13 @@ def compare_classifiers(models: dict[str, Classifier], df: DataFrame, label: str
 
 
 def prediction_table(models: dict[str, Classifier], df: DataFrame, label: str = "label", key: str = "row_id") -> DataFrame:
-    """(key, true label, ``<model>_pred`` and ``<model>_proba`` per model)."""
-    out = df.select(key, F.col(label).alias("true_label"))
+    """(key, true label, ``<model>_pred`` and ``<model>_proba`` per model), all models over one scan of the rows."""
+    out, found = df, []
     for n, m in models.items():
-        scored = m.predict(df).select(key, F.col("prediction").alias(f"{n}_pred"), m.positive_probability().alias(f"{n}_proba"))
-        out = out.join(scored, key)
-    return out
+        scored = m.predict(out.drop("prediction", "probability"))
+        out = scored.withColumns({f"{n}_pred": F.col("prediction"), f"{n}_proba": m.positive_probability()})
+        found += [f"{n}_pred", f"{n}_proba"]
+    return out.select(key, F.col(label).alias("true_label"), *found)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

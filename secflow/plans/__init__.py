@@ -7,7 +7,7 @@ import importlib
 from secflow.plans.registry import ENTRIES, Entry
 
 AREAS = ["flows", "syscalls", "scaling", "scores", "profiles", "tests_of_significance", "selection",
-         "distances", "models", "reports"]
+         "distances", "models", "reports", "pipelines"]
 
 
 def load_all() -> dict[str, Entry]:

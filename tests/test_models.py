@@ -59,6 +59,29 @@ def test_two_stage_run(planted):
     assert sum(counts[c] for c in ("true_normal", "false_alarm", "missed", "right_type", "wrong_type")) == 150
 
 
+def test_two_stage_run_with_new_rows(planted):
+    train, test = planted.filter("row_id % 2 = 0"), planted.filter("row_id % 2 = 1")
+    attacks = two_stage.attacks_only(train)
+    balanced = two_stage.balanced_attacks(attacks, "attack_cat", COLS["numeric"], COLS["text"])
+    sizes = {r["attack_cat"]: r["count"] for r in balanced.groupBy("attack_cat").count().collect()}
+    assert len(set(sizes.values())) == 1 and set(balanced.columns) == {"row_id", "attack_cat", "x", "y", "noise", "proto"}
+    for c in COLS["numeric"]:  # between rows of the class, so inside its range
+        of = [d.groupBy("attack_cat").agg(F.min(c).alias("lo"), F.max(c).alias("hi")).orderBy("attack_cat").collect() for d in (attacks, balanced)]
+        assert all(a["lo"] <= b["lo"] + 1e-9 and b["hi"] <= a["hi"] + 1e-9 for a, b in zip(*of))
+    final = two_stage.run_two_stage(train, test, supervised.BoostedClassifier(**COLS, trees=5, depth=3),
+                                    supervised.ForestClassifier(**COLS, label="attack_cat", trees=10, depth=5), "oversample")
+    assert two_stage.outcome_counts(final, "attack_cat").head()["accuracy"] > 0.75
+
+
+def test_predictions_of_all_models_in_one_scan(planted):
+    models = {m.name: m.fit(planted) for m in (supervised.LogisticClassifier(**COLS, most_rounds=10), supervised.BoostedClassifier(**COLS, trees=3, depth=2))}
+    table = supervised.prediction_table(models, planted)
+    assert table.columns == ["row_id", "true_label", "logistic_regression_pred", "logistic_regression_proba", "boosted_trees_pred", "boosted_trees_proba"]
+    alone = models["logistic_regression"].predict(planted).select("row_id", F.col("probability")[1].alias("p"))
+    assert table.join(alone, "row_id").filter(F.abs(F.col("p") - F.col("logistic_regression_proba")) < 1e-12).count() == 300
+    assert "Join" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_searches(planted):
     found = tuning.tune_logistic(planted, {"C": [0.001, 1.0], "penalty": ["l2"]}, 2, **COLS, most_rounds=10).collect()
     assert [r["rank"] for r in found] == [1, 2] and found[0]["mean"] >= found[1]["mean"] > 0.5

@@ -10,7 +10,7 @@ from tests.oracle import compare
 SF = "/root/testdata/sf0.001"
 ENTRIES = load_all()
 # Model fits are exercised by test_models on small fixtures.
-TIMED = {n for n, e in ENTRIES.items() if e.sql is None and e.plan.__module__.endswith((".models", ".selection"))}
+TIMED = {n for n, e in ENTRIES.items() if e.sql is None and e.plan.__module__.endswith((".models", ".selection", ".pipelines"))}
 
 
 @pytest.mark.parametrize("name", sorted(set(ENTRIES) - TIMED))

@@ -137,6 +137,8 @@ def _fitted(sample: DataFrame) -> SubwordModel:
                                           for k, v in (("a", m.table), ("w", m.weights), ("b", m.bias))})
 
     row = sample.repartition(1).mapInArrow(train, "a binary, w binary, b binary").first()
+    if row is None:  # no rows, so no task
+        return fit([], np.zeros(0, np.int64))
     return SubwordModel(np.frombuffer(row.a).reshape(-1, WIDTH), np.frombuffer(row.w).reshape(WIDTH, 2), np.frombuffer(row.b))
 
 

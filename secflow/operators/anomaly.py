@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -345,6 +346,32 @@ def sus_versus_evil(scored: DataFrame, models: list[str]) -> DataFrame:
     )
 
 
+def compare_chunks(rows: DataFrame, compare: Callable, schema: str, metric: str, block_rows: int) -> DataFrame:
+    """Run ``compare(left_block, right_block, distances)`` on every two blocks of ``rows`` (id, features, ...)."""
+    chunks = max(1, -(-rows.count() // block_rows))
+
+    def copies(own: str, other: str):
+        def spread(batches):
+            for pdf in batches:
+                if len(pdf):
+                    row = np.repeat(np.arange(len(pdf)), chunks)
+                    mine = _spread(pdf["id"].to_numpy(), chunks)
+                    yield pdf.iloc[row].assign(**{own: mine[row], other: np.tile(np.arange(chunks), len(pdf))})
+
+        return spread
+
+    shape = _fields(rows)
+    a = rows.mapInPandas(copies("lc", "rc"), f"{shape}, lc long, rc long")
+    b = rows.mapInPandas(copies("rc", "lc"), f"{shape}, rc long, lc long")
+
+    def run(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if not len(l) or not len(r):
+            return compare(l.iloc[:0], r.iloc[:0], np.zeros((0, 0)))
+        return compare(l, r, reported(block_distances(as_matrix(l["features"]), as_matrix(r["features"]), metric), metric))
+
+    return a.groupBy("lc", "rc").cogroup(b.groupBy("lc", "rc")).applyInPandas(run, schema)
+
+
 def silhouette(
     df: DataFrame, cluster: str, metric: str = "euclidean", key: str = "row_id", features: str = "features", block_rows: int = 2048
 ) -> DataFrame:
@@ -359,33 +386,17 @@ def silhouette(
         return _summed_silhouette(df, cluster, metric, key, features)
     rows = _vectors(df, key, features).join(df.select(F.col(key).cast("long").alias("id"), F.col(cluster).cast("long").alias("c")), "id")
     merged = rows.groupBy("features", "c").agg(F.min("id").alias("id"), F.count("*").alias("weight")).select("id", "features", "c", "weight")
-    chunks = max(1, -(-merged.count() // block_rows))
-
-    def copies(own: str, other: str):
-        def spread(batches):
-            for pdf in batches:
-                if len(pdf):
-                    row = np.repeat(np.arange(len(pdf)), chunks)
-                    mine = _spread(pdf["id"].to_numpy(), chunks)
-                    yield pdf.iloc[row].assign(**{own: mine[row], other: np.tile(np.arange(chunks), len(pdf))})
 
-        return spread
-
-    shape = _fields(merged)
-    a = merged.mapInPandas(copies("lc", "rc"), f"{shape}, lc long, rc long")
-    b = merged.mapInPandas(copies("rc", "lc"), f"{shape}, rc long, lc long")
-
-    def sums(l, r):
-        if not len(l) or not len(r):
+    def sums(l, r, d):
+        if not d.size:
             return pd.DataFrame({"id": [], "other": [], "total": []})
-        d = reported(block_distances(as_matrix(l["features"]), as_matrix(r["features"]), metric), metric)
         names, spot = np.unique(r["c"].to_numpy(), return_inverse=True)
         member = np.zeros((len(r), len(names)))
         member[np.arange(len(r)), spot] = r["weight"].to_numpy()
         total = d @ member
         return pd.DataFrame({"id": np.repeat(l["id"].to_numpy(), len(names)), "other": np.tile(names, len(l)), "total": total.ravel()})
 
-    parts = a.groupBy("lc", "rc").cogroup(b.groupBy("lc", "rc")).applyInPandas(sums, "id long, other long, total double")
+    parts = compare_chunks(merged, sums, "id long, other long, total double", metric, block_rows)
     sizes = merged.groupBy(F.col("c").alias("other")).agg(F.sum("weight").alias("size"))
     totals = parts.groupBy("id", "other").agg(F.sum("total").alias("total")).join(F.broadcast(sizes), "other")
     joined = totals.join(merged.select("id", "c"), "id")

@@ -15,8 +15,10 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from secflow.operators import anomaly, dbscan as density, evaluation, tree_search
+from secflow.functions.geometry import array_features
+from secflow.operators import anomaly, evaluation, tree_search
 from secflow.operators.boosting import Settings
+from secflow.operators.density_grid import density_grid, grid_silhouettes
 from secflow.operators.supervised import BoostedClassifier, Classifier, ForestClassifier, LogisticClassifier, fit_side_by_side
 from secflow.session import cut_lineage
 
@@ -209,25 +211,25 @@ def tune_dbscan(
 ) -> DataFrame:
     """(eps, min_samples, n_clusters, n_noise, noise_ratio, silhouette, f1).
 
-    The silhouette covers clustered rows only; f1 scores noise as the anomaly flag when labels exist.
+    All settings come from one pass over the distances. The silhouette covers clustered rows only; f1 scores
+    noise as the anomaly flag when labels exist.
     """
+    points, labels = density_grid(df, radii, least, key=key, features=features)
+    positive = F.count_if(F.col(label) == 1) if label else F.lit(0)
+    groups = df.groupBy(array_features(df, features).alias("_x")).agg(F.min(F.col(key).cast("long")).alias("id"), F.count("*").alias("n"), positive.alias("p"))
+    groups = cut_lineage(groups.select("id", "n", "p"))
+    whole = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("p"), F.lit(0)).alias("p")).head()
+    inside = labels.join(groups, "id").groupBy("eps", "min_samples").agg(
+        F.count_distinct("cluster").alias("clusters"), F.sum("n").alias("n"), F.sum("p").alias("p"))
+    found = {(r["eps"], r["min_samples"]): (r["clusters"], r["n"], r["p"]) for r in inside.collect()}
+    values = {(r["eps"], r["min_samples"]): r["silhouette"] for r in grid_silhouettes(points, labels).collect()}
     parts = []
     for eps in radii:
         for m in least:
-            found = density.dbscan(df, eps, m, key=key, features=features).join(df.select(key, features, *([label] if label else [])), key)
-            shape = found.agg(
-                F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"),
-                F.count_if(F.col("cluster") == -1).alias("n_noise"),
-                F.avg((F.col("cluster") == -1).cast("double")).alias("noise_ratio"),
-            ).head()
-            value = None
-            if shape["n_clusters"] > 1:
-                value = anomaly.silhouette(found.filter("cluster >= 0"), "cluster", key=key, features=features).agg(F.avg("silhouette")).head()[0]
-            f1 = None
-            if label:
-                flagged = found.withColumn("_flag", (F.col("cluster") == -1).cast("int"))
-                f1 = evaluation.anomaly_metrics(flagged, label, "_flag").head()["f1"]
-            parts.append((float(eps), int(m), shape["n_clusters"], shape["n_noise"], shape["noise_ratio"], value, f1))
+            clusters, clustered, missed = found.get((float(eps), int(m)), (0, 0, 0))
+            noise, hits = whole["n"] - clustered, whole["p"] - missed
+            f1 = 2 * hits / (noise + whole["p"]) if noise + whole["p"] else 0.0
+            parts.append((float(eps), int(m), clusters, noise, noise / whole["n"] if whole["n"] else None, values.get((float(eps), int(m))), f1 if label else None))
     return df.sparkSession.createDataFrame(
         parts, "eps double, min_samples long, n_clusters long, n_noise long, noise_ratio double, silhouette double, f1 double"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from secflow.functions.columns import round_doubles
 from secflow.operators import anomaly as an
 from secflow.operators import dbscan as db
+from secflow.operators import density_grid as grid
 from secflow.operators import neighbors as nb
 from secflow.plans.registry import query
 from secflow.sources.views import SYSCALL_SQL, VECTORS_SQL, syscall_view, vector_view
@@ -111,6 +112,23 @@ def density_clusters(spark, sf_dir):
     return db.dbscan(vector_view(spark, sf_dir), EPS, MIN_SAMPLES)
 
 
+@query("U3 G6", f"""WITH RECURSIVE {VECTORS_SQL}, s AS (SELECT eps, least FROM (SELECT unnest([1.05, 1.1, 1.15]) AS eps), (SELECT unnest([3, 5]) AS least)),
+near AS (SELECT a.row_id AS a, b.row_id AS b, list_distance(a.features, b.features) AS d FROM vectors a, vectors b WHERE list_distance(a.features, b.features) <= 1.15),
+core AS (SELECT eps, least, a AS id FROM near JOIN s ON d <= eps GROUP BY 1, 2, 3 HAVING count(*) >= least),
+links AS (SELECT x.eps, x.least, a, b FROM near JOIN core x ON x.id = a AND d <= x.eps JOIN core y ON y.id = b AND y.eps = x.eps AND y.least = x.least),
+reach AS (SELECT * FROM links UNION SELECT r.eps, r.least, r.a, l.b FROM reach r JOIN links l ON l.eps = r.eps AND l.least = r.least AND r.b = l.a),
+comp AS (SELECT eps, least, a AS id, min(b) AS cluster FROM reach GROUP BY 1, 2, 3),
+border AS (SELECT c.eps, c.least, a AS id, arg_min(c.cluster, struct_pack(d := d, b := b)) AS cluster FROM near JOIN comp c ON c.id = b AND d <= c.eps
+  WHERE NOT EXISTS (FROM comp o WHERE o.eps = c.eps AND o.least = c.least AND o.id = a) GROUP BY 1, 2, 3)
+SELECT CAST(eps AS DOUBLE) AS eps, CAST(least AS INTEGER) AS min_samples, id AS row_id, cluster, is_core
+FROM (SELECT *, 1 AS is_core FROM comp UNION ALL SELECT *, 0 FROM border)""")
+def density_settings(spark, sf_dir):
+    """Clusters of six settings from one pass over the distances; rows in no cluster of a setting are noise there."""
+    vectors = vector_view(spark, sf_dir)
+    _, labels = grid.density_grid(vectors, [1.05, 1.1, 1.15], [3, 5])
+    return grid.rows_by_setting(vectors, labels)
+
+
 @query("U9", _density() + """SELECT cluster, count(*) AS size, round(count(*) / (SELECT count(*) FROM clusters), 6) AS share,
 CASE WHEN cluster = -1 THEN 1 ELSE 0 END AS is_noise FROM clusters GROUP BY cluster""")
 def density_cluster_sizes(spark, sf_dir):

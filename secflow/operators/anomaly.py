@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions.columns import as_flag, ratio_or_zero
 from secflow.functions.geometry import array_features, as_matrix, block_distances, reported
+from secflow.operators.kmeans import fit_kmeans
 from secflow.operators.neighbors import _fields, _spread, _vectors
 from secflow.operators.ranking import exact_quantiles
 
@@ -72,22 +73,22 @@ def contamination_threshold(scored: DataFrame, contamination: float) -> float:
 
 @dataclass
 class KMeansDetector:
-    """Distance to the nearest centre; the threshold leaves ``contamination`` of the fitted rows above."""
+    """Distance to the nearest centre of the best of ``starts`` fits; the threshold leaves ``contamination`` of the fitted rows above."""
 
     k: int = 8
     contamination: float = 0.05
     metric: str = "euclidean"
     features: str = "features"
     seed: int = 42
+    starts: int = 10
     centres: np.ndarray | None = None
     threshold: float | None = None
     inertia: float | None = None
     row_wise = True
 
     def fit(self, df: DataFrame) -> "KMeansDetector":
-        model = KMeans(k=self.k, seed=self.seed, featuresCol="_vector", initSteps=5).fit(as_vector(df, self.features))
-        self.centres = np.array([np.asarray(c) for c in model.clusterCenters()])
-        self.inertia = model.summary.trainingCost
+        best = fit_kmeans(df, [self.k], self.features, self.seed, self.starts)[self.k]
+        self.centres, self.inertia = best.centres, best.inertia
         return self.calibrate(df, self.contamination)
 
     def calibrate(self, df: DataFrame, contamination: float) -> "KMeansDetector":

@@ -19,6 +19,7 @@ from secflow.functions.geometry import array_features
 from secflow.operators import anomaly, evaluation, tree_search
 from secflow.operators.boosting import Settings
 from secflow.operators.density_grid import density_grid, grid_silhouettes
+from secflow.operators.kmeans import fit_kmeans
 from secflow.operators.supervised import BoostedClassifier, Classifier, ForestClassifier, LogisticClassifier, fit_side_by_side
 from secflow.session import cut_lineage
 
@@ -171,15 +172,12 @@ def boosted_sweep(train: DataFrame, test: DataFrame, settings: list[dict], **fix
     return basic.join(areas, "setting").join(final, "setting")
 
 
-def elbow(df: DataFrame, ks: list[int], features: str = "features", seed: int = 42) -> DataFrame:
-    """(k, inertia, silhouette) of K-means per k; the silhouette is the linear one."""
-    ready = anomaly.as_vector(df, features).persist()
+def elbow(df: DataFrame, ks: list[int], features: str = "features", seed: int = 42, starts: int = 10) -> DataFrame:
+    """(k, inertia, silhouette) of the best K-means per k, all fitted side by side; the silhouette is the linear one."""
     rows = []
-    for k in ks:
-        model = anomaly.KMeans(k=k, seed=seed, featuresCol="_vector").fit(ready)
-        found = model.transform(ready)
-        rows.append((k, float(model.summary.trainingCost), float(anomaly.linear_silhouette(found, "prediction", features="_vector"))))
-    ready.unpersist()
+    for k, best in fit_kmeans(df, ks, features, seed, starts).items():
+        found = anomaly.centre_scores(df, best.centres, features=features)
+        rows.append((k, best.inertia, float(anomaly.linear_silhouette(found, "cluster", features=features))))
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -193,10 +191,10 @@ def elbow_pick(curve: DataFrame) -> DataFrame:
 
 
 def tune_kmeans(df: DataFrame, ks: list[int], contaminations: list[float], features: str = "features", key: str = "row_id", exact: bool = False) -> DataFrame:
-    """(k, contamination, silhouette, threshold): one fit per k serves every contamination."""
+    """(k, contamination, silhouette, threshold): fits of all k side by side; one per k serves every contamination."""
     rows = []
-    for k in ks:
-        detector = anomaly.KMeansDetector(k=k, features=features).fit(df)
+    for k, best in fit_kmeans(df, ks, features).items():
+        detector = anomaly.KMeansDetector(k=k, features=features, centres=best.centres, inertia=best.inertia)
         scored = detector.score(df)
         if exact:
             value = anomaly.silhouette(scored, "cluster", key=key, features=features).agg(F.avg("silhouette")).head()[0]

@@ -29,15 +29,11 @@ class Scaler:
         return df.select(*[scaled.get(c, F.col(c)) for c in df.columns])
 
 
-def few_valued(df: DataFrame, columns: list[str], most: int) -> set[str]:
-    """Columns with at most ``most`` distinct values.
+def _sketches(columns: list[str]) -> list:
+    return [F.approx_count_distinct(c, 0.05).alias(c) for c in columns]
 
-    A sketch over all columns finds the clearly richer ones; only the doubtful rest is counted
-    exactly, and there the partial aggregate leaves few values per task.
-    """
-    if not columns:
-        return set()
-    sketch = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).head()
+
+def _few_of_sketch(df: DataFrame, columns: list[str], most: int, sketch) -> set[str]:
     doubtful = [c for c in columns if sketch[c] <= 4 * most + 10]
     if not doubtful:
         return set()
@@ -45,6 +41,15 @@ def few_valued(df: DataFrame, columns: list[str], most: int) -> set[str]:
     return {c for c in doubtful if exact[c] <= most}
 
 
+def few_valued(df: DataFrame, columns: list[str], most: int) -> set[str]:
+    """Columns with at most ``most`` distinct values.
+
+    A sketch over all columns finds the clearly richer ones; only the doubtful rest is counted
+    exactly, and there the partial aggregate leaves few values per task.
+    """
+    return _few_of_sketch(df, columns, most, df.agg(*_sketches(columns)).head()) if columns else set()
+
+
 def columns_to_scale(df: DataFrame, exclude: list[str] | None = None, few: int = 2, detect: bool = True) -> list[str]:
     """Continuous feature columns: 64-bit numbers that are no target, flag, key or few-valued code."""
     skip = set(NON_FEATURES) | set(exclude or [])
@@ -65,9 +70,20 @@ def fit_scaler(df: DataFrame, columns: list[str], method: str = "standard") -> S
         quartiles = exact_quantiles(long_form(df, columns), "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["column"])
         found = {r["column"]: (r["q2"], r["q3"] - r["q1"]) for r in quartiles.collect()}  # one row per column
     else:
-        centre, scale = (F.avg, F.stddev_pop) if method == "standard" else (F.min, lambda c: F.max(c) - F.min(c))
-        row = df.agg(*[f(c).alias(f"{c}:{i}") for c in columns for i, f in enumerate((centre, scale))]).head()
-        found = {c: (row[f"{c}:0"], row[f"{c}:1"]) for c in columns}
+        found = _moments(df.agg(*_moment_columns(columns, method)).head(), columns)
+    return _scaler(method, found)
+
+
+def _moment_columns(columns: list[str], method: str) -> list:
+    centre, scale = (F.avg, F.stddev_pop) if method == "standard" else (F.min, lambda c: F.max(c) - F.min(c))
+    return [f(c).alias(f"{c}:{i}") for c in columns for i, f in enumerate((centre, scale))]
+
+
+def _moments(row, columns: list[str]) -> dict:
+    return {c: (row[f"{c}:0"], row[f"{c}:1"]) for c in columns}
+
+
+def _scaler(method: str, found: dict) -> Scaler:
     return Scaler(method, {c: (float(m or 0.0), float(s or 0.0) or 1.0) for c, (m, s) in found.items()})
 
 
@@ -76,6 +92,11 @@ def scale_numeric(
 ) -> DataFrame:
     """Scale the continuous columns of ``df`` with parameters fitted on ``train`` (or on itself)."""
     base = df if train is None else train
+    names = columns_to_scale(base, exclude, detect=False)
+    if exclude is None and method in ("standard", "minmax") and names:  # one pass for the distinct values and the moments
+        row = base.agg(*_sketches(names), *_moment_columns(names, method)).head()
+        codes = _few_of_sketch(base, names, few, row)
+        return _scaler(method, _moments(row, [c for c in names if c not in codes])).transform(df)
     return fit_scaler(base, columns_to_scale(base, exclude, few), method).transform(df)
 
 

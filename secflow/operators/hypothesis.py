@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from secflow.functions import special
 from secflow.functions.columns import long_form
-from secflow.operators.ranking import average_ranks, exact_quantiles, running_totals
+from secflow.operators.ranking import average_ranks, cuts_below, exact_quantiles, running_totals
 from secflow.session import cut_lineage
 
 
@@ -159,14 +159,17 @@ def chi2_scores(df: DataFrame, columns: list[str], label: str) -> DataFrame:
 def binned_mutual_information(df: DataFrame, columns: list[str], label: str, bins: int = 20) -> DataFrame:
     """Mutual information (nats) of each column with the label, the column cut into bins of about equal counts.
 
-    The rows below a value give its bin, so equal values share one and far values widen no other.
+    The rows below a value give its bin, so equal values share one and far values widen no other. The rows are read
+    and collapsed once; a value finds its bin among the highest values of the bins, a few numbers per column.
     """
     long = long_form(df, columns, [label]).filter("value IS NOT NULL")
-    counts = long.groupBy("column", "value", label).agg(F.count("*").alias("c"))
-    below = running_totals(long, "value", {"n": F.count("*")}, ["column"])
+    counts = cut_lineage(long.groupBy("column", "value", label).agg(F.count("*").alias("c")))
+    below = running_totals(counts, "value", {"n": F.sum("c")}, ["column"])
     spot = F.floor((F.col("n_upto") - F.col("n")) * bins / F.col("n_all"))
-    binned = below.select("column", "value", F.col("n_all").alias("_n"), spot.alias("_bin"))
-    cells = counts.join(binned, ["column", "value"]).groupBy("column", "_n", "_bin", label).agg(F.sum("c").alias("c"))
+    ends = below.groupBy("column", spot.alias("_bin")).agg(F.max("value").alias("_end"), F.max("n_all").alias("_n"))
+    ends = ends.groupBy("column").agg(F.array_sort(F.collect_list("_end")).alias("_ends"), F.max("_n").alias("_n"))
+    placed = counts.join(F.broadcast(ends), "column").withColumn("_bin", cuts_below(F.col("_ends"), F.col("value"), bins))
+    cells = placed.groupBy("column", "_n", "_bin", label).agg(F.sum("c").alias("c"))
     by_bin = cells.groupBy("column", "_bin").agg(F.sum("c").alias("b"))
     by_label = cells.groupBy("column", label).agg(F.sum("c").alias("l"))
     joined = cells.join(by_bin, ["column", "_bin"]).join(by_label, ["column", label])

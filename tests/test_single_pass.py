@@ -36,3 +36,22 @@ def test_spearman_reads_rows_once(spark):
         both = pdf[[r["column"], "t"]].dropna()
         want = np.corrcoef(both[r["column"]].rank(), both["t"].rank())[0, 1]
         assert abs(r["rho"] - want) < 1e-9
+
+
+def test_mutual_information_reads_rows_once(spark):
+    df = _rows(spark)
+    found = hypothesis.binned_mutual_information(df, ["a", "b"], "t", 6)
+    assert _scans(found) == 0
+    pdf = df.toPandas()
+    for r in found.collect():
+        both = pdf[[r["column"], "t"]].dropna()
+        x = both[r["column"]].to_numpy()
+        n = len(x)
+        bins = np.searchsorted(np.sort(x), x, "left") * 6 // n
+        want = 0.0
+        for b in np.unique(bins):
+            for t in np.unique(both["t"]):
+                c = ((bins == b) & (both["t"] == t)).sum()
+                if c:
+                    want += c / n * np.log(c * n / ((bins == b).sum() * (both["t"] == t).sum()))
+        assert abs(r["score"] - want) < 1e-9

@@ -11,7 +11,8 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -34,12 +35,26 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Visible ASCII and precomposed Latin letters: already normalised, and lower-cased letter by letter.
 _PLAIN = re.compile(r"[!-~À-įı-ɏ]+")
 _MARKS = (b".", b",")
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 800_000
+
+
+class _Known(dict):
+    """Ids by word; an unknown word is encoded when it is asked for."""
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.encode(word)
+        return ids
 
 
 class WordEncoder:
     """Token ids of whole texts, each distinct word encoded once.
 
+    The pieces of words are kept beside the words: a piece that stands alone has the same ids.
+
     White space parts words in this kind of vocabulary, so a text's ids are those of its words. Plain
     words go straight to the BPE model; any other word passes through the whole tokenizer.
     """
@@ -51,21 +66,21 @@ class WordEncoder:
         split = [p.get("pattern", {}).get("Regex") for p in spec["pre_tokenizer"].get("pretokenizers", [])]
         kinds = [n["type"] for n in spec["normalizer"].get("normalizers", [])]
         self.by_word = split[:1] == [_SPLIT] and kinds == ["NFC", "Replace", "Lowercase"] and self.tokenizer.get_vocab_size() < 1 << 16
+        self.tokenize = self.tokenizer.model.tokenize
         self.split = regex.compile(_SPLIT)
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         other = [b for b in range(256) if b not in printable]
         self.shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        self.words = _Known(self._word)
 
     def _stem(self, stem: bytes) -> bytes:
         """Ids of a lower-cased run that the pre-tokenisation leaves whole."""
-        ids = self.stems.get(stem)
+        ids = self.words.get(stem)
         if ids is None:
-            if len(self.stems) >= _WORDS_KEPT:
-                self.stems = {}
-            shown = stem.decode("latin-1").translate(self.shown)
-            ids = self.stems[stem] = array("H", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+            shown = stem.decode("latin-1")
+            if not stem.isalpha():  # ASCII letters stand for themselves
+                shown = shown.translate(self.shown)
+            ids = self.words[stem] = array("H", [t.id for t in self.tokenize(shown)]).tobytes()
         return ids
 
     def _word(self, word: bytes) -> bytes:
@@ -84,14 +99,15 @@ class WordEncoder:
     def ids(self, text: bytes) -> np.ndarray:
         if not self.by_word:
             return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
-        words = text.split()
-        known = self.words
-        missing = [w for w in set(words) if w not in known]  # a difference of the views would walk all known words
-        if len(known) + len(missing) > _WORDS_KEPT:
-            self.words, missing = {}, set(words)
-        for w in missing:
-            self.words[w] = self._word(w)
-        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.uint16).astype(np.uint32)
+        if len(self.words) > _WORDS_KEPT:
+            self.words.clear()
+        return np.frombuffer(b"".join(map(self.words.__getitem__, text.split())), np.uint16).astype(np.uint32)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """The encoder of a worker process, kept with its words from one task to the next."""
+    return WordEncoder(path)
 
 
 def tokenised_pieces(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
@@ -99,7 +115,7 @@ def tokenised_pieces(docs: DataFrame, path: str = TOKENIZER, length: int = LENGT
     """The pieces of every document, stored in the shared folder, numbered by ``piece_no``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = encoder_of(path)
         for part in common.slices(batches, "text"):
             rows: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             for doc, text in zip(part["doc_id"].to_pylist(), common.utf8(part["text"])):

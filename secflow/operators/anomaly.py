@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -125,6 +125,10 @@ class Mixture:
         wide = self.covariances if self.kind == "diag" else np.repeat(self.covariances[:, None], d, 1)
         return np.stack([np.diag(v) for v in wide])
 
+    def crossed(self) -> bool:
+        """Whether the covariances need products of different columns."""
+        return self.kind in ("full", "tied")
+
     def parameters(self) -> int:
         k, d = self.means.shape
         size = {"full": k * d * (d + 1) // 2, "tied": d * (d + 1) // 2, "diag": k * d, "spherical": k}[self.kind]
@@ -141,11 +145,14 @@ def log_densities(x: np.ndarray, mixture: Mixture) -> np.ndarray:
     """log(weight * density) per row and component."""
     d = mixture.means.shape[1]
     out = np.empty((len(x), len(mixture.weights)))
-    for j, (mean, cov) in enumerate(zip(mixture.means, mixture.full())):
-        root = np.linalg.cholesky(cov)
-        solved = np.linalg.solve(root, (x - mean).T)
-        half = np.log(np.diag(root)).sum()
-        out[:, j] = np.log(mixture.weights[j] + 1e-300) - half - 0.5 * ((solved**2).sum(0) + d * np.log(2 * np.pi))
+    roots = None if mixture.crossed() else np.sqrt(mixture.covariances.reshape(len(mixture.weights), -1) * np.ones(d))
+    for j, mean in enumerate(mixture.means):
+        if roots is None:
+            root = np.linalg.cholesky(mixture.covariances if mixture.kind == "tied" else mixture.covariances[j])
+            solved, scale = (x - mean) @ np.linalg.inv(root).T, np.diag(root)
+        else:
+            solved, scale = (x - mean) / roots[j], roots[j]
+        out[:, j] = np.log(mixture.weights[j] + 1e-300) - np.log(scale).sum() - 0.5 * (np.einsum("ni,ni->n", solved, solved) + d * np.log(2 * np.pi))
     return out
 
 
@@ -171,38 +178,37 @@ def mixture_scores(df: DataFrame, mixture: Mixture, features: str = "features")
     return scored.withColumns({c: F.col(f"_m.{c}") for c in ("score", "cluster", "probabilities")}).drop("_m")
 
 
-def _moments(df: DataFrame, mixture: Mixture, features: str, cross: bool):
-    """Weighted sums for one maximisation step, reduced to components x dimensions by Spark."""
-    d = mixture.means.shape[1]
-
+def _moments(df: DataFrame, mixtures: list[Mixture], features: str) -> list[tuple]:
+    """Per mixture the weighted sums for one maximisation step, all from one scan, reduced to components x dimensions by Spark."""
     def sums(batches):
         total = None
         for pdf in batches:
             if not len(pdf):
                 continue
             x = as_matrix(pdf["x"])
-            logs = log_densities(x, mixture)
-            like = _log_sum(logs)
-            share = np.exp(logs - like[:, None])
-            second = np.einsum("nk,ni,nj->kij", share, x, x).reshape(len(share[0]), -1) if cross else share.T @ (x * x)
-            part = np.hstack([share.sum(0)[:, None], share.T @ x, second])
-            likes = like.sum()
-            total = (part, likes) if total is None else (total[0] + part, total[1] + likes)
+            squares, part = x * x, []
+            for m in mixtures:
+                logs = log_densities(x, m)
+                like = _log_sum(logs)
+                share = np.exp(logs - like[:, None])
+                second = np.stack([((c[:, None] * x).T @ x).ravel() for c in share.T]) if m.crossed() else share.T @ squares
+                part += [np.hstack([share.sum(0)[:, None], share.T @ x, second]).ravel(), [like.sum()]]
+            part = np.concatenate(part)
+            total = part if total is None else total + part
         if total is not None:
-            part, likes = total
-            k, w = part.shape
-            yield pd.DataFrame({"component": np.repeat(np.arange(k), w), "place": np.tile(np.arange(w), k), "v": part.ravel()})
-            yield pd.DataFrame({"component": [-1], "place": [0], "v": [likes]})
-
-    parts = df.select(array_features(df, features).alias("x")).mapInPandas(sums, "component long, place long, v double")
-    k = len(mixture.weights)
-    out, likes = np.zeros((k, 1 + d + (d * d if cross else d))), 0.0
-    for r in parts.groupBy("component", "place").agg(F.sum("v").alias("v")).collect():
-        if r["component"] < 0:
-            likes = r["v"]
-        else:
-            out[r["component"], r["place"]] = r["v"]
-    return out[:, 0], out[:, 1:1 + d], out[:, 1 + d:], likes
+            yield pd.DataFrame({"place": np.arange(len(total)), "v": total})
+
+    parts = df.select(array_features(df, features).alias("x")).mapInPandas(sums, "place long, v double")
+    shapes = [(len(m.weights), 1 + d + (d * d if m.crossed() else d)) for m in mixtures for d in m.means.shape[1:]]
+    whole = np.zeros(sum(k * w + 1 for k, w in shapes))
+    for r in parts.groupBy("place").agg(F.sum("v").alias("v")).collect():
+        whole[r["place"]] = r["v"]
+    out, at = [], 0
+    for m, (k, w) in zip(mixtures, shapes):
+        cells, d = whole[at:at + k * w].reshape(k, w), m.means.shape[1]
+        out.append((cells[:, 0], cells[:, 1:1 + d], cells[:, 1 + d:], float(whole[at + k * w])))
+        at += k * w + 1
+    return out
 
 
 def _maximised(kind: str, n: np.ndarray, s: np.ndarray, q: np.ndarray, floor: float) -> Mixture:
@@ -223,44 +229,121 @@ def fit_mixture(
     df: DataFrame, k: int, kind: str = "full", features: str = "features", seed: int = 42,
     most_rounds: int = 50, tolerance: float = 1e-3, floor: float = 1e-6, start: np.ndarray | None = None,
 ) -> Mixture:
-    """Expectation-maximisation; each round is one scan whose result has components x dimensions cells.
+    """Expectation-maximisation of one mixture, see ``fit_mixtures``."""
+    return fit_mixtures(df, [(k, kind)], features, seed, most_rounds, tolerance, floor, start)[0]
+
+
+def fit_mixtures(
+    df: DataFrame, settings: list[tuple[int, str]], features: str = "features", seed: int = 42,
+    most_rounds: int = 50, tolerance: float = 1e-3, floor: float = 1e-6, start: np.ndarray | None = None,
+) -> list[Mixture]:
+    """Expectation-maximisation of a mixture per (components, kind), side by side: a round is one scan for all that have
+    not settled, and its result has components x dimensions cells. Mixtures of the same size share their first centres.
 
     Values are centred on their mean first, so that large offsets do not eat the digits of the moments.
     """
-    if kind not in ("full", "tied", "diag", "spherical"):
-        raise ValueError(f"unknown covariance {kind}")
+    for _, kind in settings:
+        if kind not in ("full", "tied", "diag", "spherical"):
+            raise ValueError(f"unknown covariance {kind}")
     df = df.select(array_features(df, features).alias(features))
     centre = np.array([r["m"] for r in df.select(F.posexplode(features).alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).orderBy("i").collect()])
     away = F.array(*[F.lit(float(c)) for c in centre])
     df = df.select(F.zip_with(features, away, lambda x, c: x - c).alias(features)).persist()  # every round scans it
-    means = None if start is None else start - centre
-    if means is None:
-        model = KMeans(k=k, seed=seed, featuresCol="_vector").fit(as_vector(df, features))
-        means = np.array([np.asarray(c) for c in model.clusterCenters()])
-    k, d = means.shape
+    first: dict[int, np.ndarray] = {}
+    for k in sorted({k for k, _ in settings}):
+        if start is None:
+            model = KMeans(k=k, seed=seed, featuresCol="_vector").fit(as_vector(df, features))
+            first[k] = np.array([np.asarray(c) for c in model.clusterCenters()])
+        else:
+            first[k] = start - centre
+    d = len(centre)
     spread = df.select(F.posexplode(array_features(df, features)).alias("i", "x")).groupBy("i").agg(F.var_pop("x").alias("v")).collect()
     wide = np.zeros(d)
     for r in spread:
         wide[r["i"]] = r["v"] + floor
-    shape = {"full": np.repeat(np.diag(wide)[None], k, 0), "tied": np.diag(wide), "diag": np.repeat(wide[None], k, 0),
-             "spherical": np.repeat(wide.mean(), k)}[kind]
-    current, last, rows = Mixture(kind, np.full(k, 1 / k), means, shape), None, 0
-    for _ in range(most_rounds):
-        n, s, q, likes = _moments(df, current, features, kind in ("full", "tied"))
-        rows = int(round(n.sum()))
-        settled = last is not None and abs(likes - last) / rows < tolerance
-        current.log_likelihood, current.rows, current.converged = likes, rows, settled
-        if settled:
+    current, last = [], [None] * len(settings)
+    for k, kind in settings:
+        means = first[k]
+        k = len(means)
+        shape = {"full": np.repeat(np.diag(wide)[None], k, 0), "tied": np.diag(wide), "diag": np.repeat(wide[None], k, 0),
+                 "spherical": np.repeat(wide.mean(), k)}[kind]
+        current.append(Mixture(kind, np.full(k, 1 / k), means, shape))
+    live = list(range(len(settings)))
+    for turn in range(most_rounds + 1):
+        if not live:
             break
-        last = likes
-        current = _maximised(kind, n, s, q, floor)
-    else:
-        current.log_likelihood, current.rows = _moments(df, current, features, kind in ("full", "tied"))[3], rows
+        found = _moments(df, [current[i] for i in live], features)
+        for i, (n, s, q, likes) in zip(list(live), found):
+            m = current[i]
+            m.log_likelihood, m.rows = likes, int(round(n.sum()))
+            m.converged = turn < most_rounds and last[i] is not None and abs(likes - last[i]) / m.rows < tolerance
+            if m.converged or turn == most_rounds:
+                live.remove(i)
+            else:
+                last[i], current[i] = likes, _maximised(m.kind, n, s, q, floor)
     df.unpersist()
-    current.means = current.means + centre
+    for m in current:
+        m.means = m.means + centre
     return current
 
 
+def mixture_silhouettes(df: DataFrame, mixtures: list[Mixture], features: str = "features") -> list[float | None]:
+    """Mean silhouette of the rows by their likeliest component, per mixture, under squared Euclidean distance; none with one cluster.
+
+    One scan sums up the rows of every cluster, a second one adds up what follows from the sums for every row.
+    """
+    middle = mixtures[0].weights @ mixtures[0].means
+    sizes = [len(m.weights) for m in mixtures]
+    ends = np.cumsum(sizes)
+    rows = df.select(array_features(df, features).alias("x"))
+
+    def members(x: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+        for m, end, k in zip(mixtures, ends, sizes):
+            yield slice(end - k, end), log_densities(x, m).argmax(1)
+
+    def add(batches):
+        total = np.zeros((ends[-1], 2 + len(middle)))
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = as_matrix(pdf["x"])
+            y = x - middle
+            cells = np.column_stack([np.ones(len(x)), (y * y).sum(1), y])
+            for at, own in members(x):
+                member = np.zeros((at.stop - at.start, len(x)))
+                member[own, np.arange(len(x))] = 1
+                total[at] += member @ cells
+        yield pd.DataFrame({"place": np.arange(total.size), "v": total.ravel()})
+
+    whole = np.zeros((ends[-1], 2 + len(middle)))
+    for r in rows.mapInPandas(add, "place long, v double").groupBy("place").agg(F.sum("v").alias("v")).collect():
+        whole[np.unravel_index(r["place"], whole.shape)] = r["v"]
+
+    def rate(batches):
+        total = np.zeros(len(mixtures))
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = as_matrix(pdf["x"])
+            y, at_row = x - middle, np.arange(len(x))
+            squares = (y * y).sum(1)[:, None]
+            for i, (at, own) in enumerate(members(x)):
+                n, q, t = whole[at, 0], whole[at, 1], whole[at, 2:]
+                far = squares + (q - 2 * y @ t.T) / np.maximum(n, 1)
+                inner = far[at_row, own] * n[own] / np.maximum(n[own] - 1, 1)
+                far[:, n == 0] = np.inf
+                far[at_row, own] = np.inf
+                outer = far.min(1)
+                top = np.maximum(inner, outer)
+                score = np.divide(outer - inner, top, out=np.zeros(len(x)), where=np.isfinite(outer) & (top > 0))
+                total[i] += np.where(n[own] > 1, score, 0.0).sum()
+        yield pd.DataFrame({"place": np.arange(len(total)), "v": total})
+
+    found = {r["place"]: r["v"] for r in rows.mapInPandas(rate, "place long, v double").groupBy("place").agg(F.sum("v").alias("v")).collect()}
+    counts = [whole[end - k:end, 0] for end, k in zip(ends, sizes)]
+    return [float(found[i] / n.sum()) if (n > 0).sum() > 1 else None for i, n in enumerate(counts)]
+
+
 @dataclass
 class MixtureDetector:
     """Minus log-likelihood under a Gaussian mixture."""

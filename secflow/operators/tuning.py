@@ -239,17 +239,15 @@ def best_dbscan(grid: DataFrame) -> DataFrame:
 
 
 def tune_mixture(df: DataFrame, counts: list[int], kinds: list[str], features: str = "features") -> DataFrame:
-    """(n_components, covariance_type, bic, aic, silhouette, converged)."""
-    rows = []
-    for k in counts:
-        for kind in kinds:
-            m = anomaly.fit_mixture(df, k, kind, features)
-            scored = anomaly.mixture_scores(df, m, features)
-            used = scored.select("cluster").distinct().count()
-            value = anomaly.linear_silhouette(scored, "cluster", features=features) if used > 1 else None
-            rows.append((k, kind, float(m.bic()), float(m.aic()), value, bool(m.converged)))
+    """(n_components, covariance_type, bic, aic, silhouette, converged); all mixtures are fitted side by side."""
+    settings = [(k, kind) for k in counts for kind in kinds]
+    rows = df.select(array_features(df, features).alias(features)).persist()
+    fitted = anomaly.fit_mixtures(rows, settings, features)
+    values = anomaly.mixture_silhouettes(rows, fitted, features)
+    rows.unpersist()
+    found = [(k, kind, float(m.bic()), float(m.aic()), value, bool(m.converged)) for (k, kind), m, value in zip(settings, fitted, values)]
     return df.sparkSession.createDataFrame(
-        rows, "n_components int, covariance_type string, bic double, aic double, silhouette double, converged boolean"
+        found, "n_components int, covariance_type string, bic double, aic double, silhouette double, converged boolean"
     )
 
 

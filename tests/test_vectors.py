@@ -165,3 +165,19 @@ def test_oversampling_balances_and_stays_on_segments(spark):
             assert -1e-9 <= t <= 1 + 1e-9 and r["features"][1] == pytest.approx(5 + 2 * t)
         if r["label"] == 2:
             assert r["features"] == [-4.0, 2.0]
+
+
+def test_mixtures_side_by_side_equal_single_fits(spark):
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal(size=(60, 2)), rng.normal(size=(40, 2)) * 2 + 9, [[500.0, 500.0]]]
+    df = frame(spark, x)
+    settings = [(2, "full"), (2, "tied"), (3, "diag"), (3, "spherical")]
+    together = anomaly.fit_mixtures(df, settings)
+    for (k, kind), m in zip(settings, together):
+        alone = anomaly.fit_mixture(df, k, kind)
+        assert np.allclose(alone.means, m.means) and np.allclose(alone.covariances, m.covariances)
+        assert alone.log_likelihood == pytest.approx(m.log_likelihood) and (alone.converged, alone.rows) == (m.converged, m.rows)
+    for m, value in zip(together, anomaly.mixture_silhouettes(df, together)):
+        assert value == pytest.approx(anomaly.linear_silhouette(anomaly.mixture_scores(df, m), "cluster"))
+    lonely = anomaly.Mixture("diag", np.array([1.0, 0.0]), np.zeros((2, 2)), np.ones((2, 2)))
+    assert anomaly.mixture_silhouettes(df, [lonely]) == [None]

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
-from secflow.operators import logistic_search, tuning
+from secflow.operators import logistic_search, selection, tuning
 
 
 @pytest.fixture(scope="module")
@@ -39,11 +40,12 @@ def test_side_by_side_fits_are_the_single_ones(spark):
     y = (x[:, 0] + x[:, 1] / 20 + x[:, 4] + rng.normal(size=400) > 0.3).astype(float)
     ready = spark.createDataFrame([(Vectors.dense(v), float(t)) for v, t in zip(x, y)], ["_features", "_label"])
     penalties = [logistic_search.Penalty(w, s, 1000) for w, s in ((0.01, 0.0), (0.05, 0.5), (0.02, 1.0))]
-    blocks = logistic_search.packed(ready.coalesce(2), 2).cache()
+    blocks = logistic_search.packed(logistic_search.drawn(ready.coalesce(2), 2)).cache()
     fits = logistic_search.fit_folds(blocks, x.shape[1], penalties, 2)
     parts = [logistic_search._blocks([b], x.shape[1], 7) for b in blocks.toArrow().to_batches()]
     held = [tuple(np.concatenate(z) for z in zip(*p)) for p in parts]
     ones, labels, folds = (np.concatenate(z) for z in zip(*held))
+    folds = folds[:, 0]
     assert sorted(map(tuple, ones[:, :-1])) == sorted(map(tuple, x)) and set(folds) == {0, 1}
     for p, per_fold in zip(penalties, fits):
         for f, w in enumerate(per_fold[:1]):
@@ -61,3 +63,17 @@ def test_a_fold_with_one_label_scores_all_rows_alike(spark):
     ready = spark.createDataFrame([(Vectors.dense([float(i)]), float(i == 0)) for i in range(40)], ["_features", "_label"]).coalesce(1)
     areas = logistic_search.cross_validated(ready, 1, [logistic_search.Penalty(0.1, 0.0, 50)], 2)
     assert sorted(areas[0]) == [0.0, 0.5]
+
+
+def test_greedy_search_scores_all_options_in_shared_scans(rows, monkeypatch):
+    names = ["a", "b", "c"]
+    trials = selection.Trials(rows, names, "label")
+    options = [["a", "c"], ["b"], ["c", "b"]]
+    want = [trials.accuracy(o, "logistic", 3, "accuracy") for o in options]
+    assert trials.accuracies(options, 3) == pytest.approx(want, abs=3e-3)
+    monkeypatch.setattr(trials, "accuracy", None)  # a fit of its own per option and fold
+    assert trials.best(options, "logistic", 3, "accuracy") == options[int(np.argmax(want))]
+    trials.close()
+    odd = selection.Trials(rows.withColumn("label", F.col("label") * 2), names, "label")
+    assert not odd.two_labels()
+    odd.close()

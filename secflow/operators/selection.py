@@ -292,12 +292,9 @@ def vote_histogram(table: DataFrame) -> DataFrame:
     return table.groupBy("consensus_count").agg(F.count("*").alias("features"))
 
 
-def comprehensive(df: DataFrame, columns: list[str], label: str, n: int = 30, run_backward: bool = False) -> DataFrame:
-    """Consensus of six methods; the slow backward search is stood in for by the univariate pick unless asked for."""
-    votes = []
-    for m in METHODS:
-        actual = "univariate" if m == "backward" and not run_backward else m
-        votes += [(m, c) for c in select(df, columns, label, actual, n)]
+def comprehensive(df: DataFrame, columns: list[str], label: str, n: int = 30) -> DataFrame:
+    """Consensus of six methods, each run on all rows; no more than all columns can be asked for."""
+    votes = [(m, c) for m in METHODS for c in select(df, columns, label, m, min(n, len(columns)))]
     return consensus(df.sparkSession.createDataFrame(votes, "method string, feature string"))
 
 

@@ -102,6 +102,17 @@ def test_selectors_find_the_signal(planted):
     assert votes["x"] == 6 and votes["x"] > votes["noise"]
 
 
+def test_six_methods_run_the_backward_search(spark):
+    """The sum of two columns tells the label, so the search keeps both; the F-test ranks a noisy copy before either."""
+    rows = [(i, i % 20 - 10 + 0.1, i // 20 % 20 - 10 + 0.2) for i in range(400)]
+    df = spark.createDataFrame([(a, b, a + b + (i * 37 % 11 - 5.0), int(a + b > 0)) for i, a, b in rows], "a double, b double, c double, label int")
+    found = selection.comprehensive(df, ["a", "b", "c"], "label", 2)
+    assert {r["feature"] for r in found.filter("backward").collect()} == set(selection.stepwise(df, ["a", "b", "c"], "label", 2, False)) == {"a", "b"}
+    assert "c" in {r["feature"] for r in found.filter("univariate").collect()}
+    every = selection.comprehensive(df, ["a", "b", "c"], "label")  # more than there are
+    assert every.filter("backward AND univariate").count() == 3
+
+
 def test_ties_and_single_class_scores(spark):
     flat = spark.createDataFrame([(1.0, 0), (1.0, 1), (1.0, 1)], "score double, label int")
     assert evaluation.roc_auc(flat, "score", "label").head()["auc"] == 0.5

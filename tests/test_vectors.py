@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from secflow.operators import anomaly, dbscan, neighbors, two_stage
@@ -181,3 +182,23 @@ def test_mixtures_side_by_side_equal_single_fits(spark):
         assert value == pytest.approx(anomaly.linear_silhouette(anomaly.mixture_scores(df, m), "cluster"))
     lonely = anomaly.Mixture("diag", np.array([1.0, 0.0]), np.zeros((2, 2)), np.ones((2, 2)))
     assert anomaly.mixture_silhouettes(df, [lonely]) == [None]
+
+
+def test_the_anomaly_pipeline_clusters_every_row(spark, monkeypatch):
+    from secflow.plans import pipelines
+
+    table = frame(spark, [(i % 5 * 0.5, i % 10 * 0.5) for i in range(60)]).select(
+        "row_id", F.col("row_id").cast("double").alias("x"), array_to_vector("features").alias("features"),
+        (F.col("row_id") % 7 == 0).cast("int").alias("sus"), F.lit(0).alias("evil"), F.when(F.col("row_id") % 3 == 0, "test").otherwise("train").alias("split"))
+    monkeypatch.setattr(pipelines, "syscall_view", lambda spark, sf_dir: table)
+    monkeypatch.setattr(pipelines.loading, "prepare_syscalls", lambda raw: raw.drop("features"))
+    monkeypatch.setattr(pipelines.loading, "prepare_syscall_vectors", lambda raw: raw.drop("x"))
+    seen = []
+    monkeypatch.setattr(pipelines.an, "fit_detectors", lambda df, normal_only, **options: seen.append((df.count(), options["dbscan"])) or {})
+    monkeypatch.setattr(pipelines.an, "score_all", lambda detectors, df: df)
+    monkeypatch.setattr(pipelines.an, "sus_versus_evil", lambda df, names: df.select("row_id"))
+    assert pipelines.anomaly_pipeline(spark, "").count() == 40
+    monkeypatch.setattr(dbscan, "sample_rows", None)
+    for rows, options in seen:
+        assert rows == 40 and dbscan.DbscanDetector(**options).fit(table).fitted.count() == 60
+    assert len(seen) == 2

@@ -118,7 +118,7 @@ def tagged_union(spark, sf_dir):
 def flow_ready(spark, sf_dir):
     """The one-call load: split, clean, pairs, logs, scaling with train statistics."""
     flows = flow_view(spark, sf_dir)
-    halves = splitting.stratified_split(flows, "label", 0.5, names=("train", "test"))
+    halves = splitting.split_in_place(flows, "label", 0.5, names=("train", "test"))
     ready = loading.prepare_flows(halves)
     features, _ = loading.features_and_labels(ready)
     return ready.groupBy("split", "label").agg(

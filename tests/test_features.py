@@ -128,6 +128,18 @@ def test_quantiles_match_numpy(spark, values):
     assert list(got) == pytest.approx(list(want), abs=1e-6)
 
 
+@pytest.mark.parametrize("seed", [0, 3])
+def test_split_in_place_cuts_where_the_ranks_do(spark, seed):
+    rows = [(i // (3 if i % 4 == 0 else 1) if i % 50 else None, "ab"[i % 5 == 0] if i % 31 else None) for i in range(2000)] + [(7_777_777, "a")] * 900 + [(5, "c")] * 6
+    df = spark.createDataFrame(rows, "row_id long, label string")
+    for size in (0.5, 0.13, 40, 0, 5000):
+        want, got = (f(df, "label", size, seed=seed).groupBy("row_id", "label", "split").count().collect() for f in (splitting.stratified_split, splitting.split_in_place))
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    plain = splitting.split_in_place(spark.range(5000).select(F.col("id").alias("row_id"), (F.col("id") % 3).alias("label")), "label", 0.5, seed=seed)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and plain.filter("split = 'first'").count() == 2500
+
+
 def test_hash_ranks_cover_every_place(spark):
     df = spark.range(500).select(F.col("id").alias("row_id"), (F.col("id") % 2).alias("g"))
     ranks = hash_ranks(df, "row_id", ["g"]).groupBy("g").agg(F.collect_set("rank").alias("r")).collect()

@@ -113,6 +113,22 @@ def test_six_methods_run_the_backward_search(spark):
     assert every.filter("backward AND univariate").count() == 3
 
 
+def test_the_supervised_pipeline_keeps_the_best_columns_only(spark, monkeypatch):
+    from secflow.plans import pipelines
+
+    flows = spark.range(200).select(F.col("id").alias("row_id"), (F.col("id") % 2).cast("int").alias("label"), F.lit("p").alias("proto"),
+                                    *[(F.xxhash64(F.lit(i), "id") % 100 + F.col("id") % 2 * i).cast("double").alias(f"c{i}") for i in range(40)])
+    seen = []
+    monkeypatch.setattr(pipelines, "flow_view", lambda spark, sf_dir: flows)
+    monkeypatch.setattr(pipelines.loading, "prepare_flows", lambda halves: halves)
+    monkeypatch.setattr(pipelines, "cut_lineage", lambda df: seen.append(df.columns) or df)
+    monkeypatch.setattr(pipelines.su, "train_standard", lambda train, **options: seen.append((train.count(), options["random_forest"]["numeric"])) or {})
+    monkeypatch.setattr(pipelines.su, "compare_classifiers", lambda models, test: test)
+    assert pipelines.supervised_pipeline(spark, "").count() == 100
+    (kept,), (rows, best) = seen[:-1], seen[-1]
+    assert kept == ["row_id", "label", "split", *best] and len(best) == 30 and rows == 100
+
+
 def test_ties_and_single_class_scores(spark):
     flat = spark.createDataFrame([(1.0, 0), (1.0, 1), (1.0, 1)], "score double, label int")
     assert evaluation.roc_auc(flat, "score", "label").head()["auc"] == 0.5
